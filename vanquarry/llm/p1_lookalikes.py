@@ -14,6 +14,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from .common import SUSPECT, consistent, read
 
@@ -21,7 +22,7 @@ FIELDS = (("legal_docs", "raw_text"), ("legal_docs", "title"), ("court_cases", "
 WORD = rf"[^ \t\r\n\f]*?{SUSPECT}[^ \t\r\n\f]*"
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _fold(s: pd.Series) -> pd.Series:
     return s.map(consistent, na_action="ignore")
 
@@ -56,7 +57,7 @@ def variants(df: DataFrame) -> DataFrame:
     return words.join(canonical, "word").select("field_name", "item_id", "word", "canonical")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _replace(value: pd.Series, words: pd.Series) -> pd.Series:
     import regex
 

@@ -21,6 +21,7 @@ import pandas as pd
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from .common import Memo, consistent, h64, host, mix, read, small_rows
 
@@ -169,7 +170,7 @@ def without_lines(text: str, line_nos: set[int]) -> str:
 def cleaned(rows: DataFrame, **marks_) -> DataFrame:
     """(table_name, uid, raw_text, lines_removed): each uid's text without the repeated lines."""
 
-    @F.pandas_udf("string")
+    @F.pandas_udf(StringType())
     def remove(text: pd.Series, nos: pd.Series) -> pd.Series:
         return pd.Series([t if t is None or n is None else without_lines(t, {int(x) for x in n}) for t, n in zip(text, nos)])
 
