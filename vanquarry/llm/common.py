@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import re
 import unicodedata
 
@@ -51,12 +52,45 @@ def _word(m: regex.Match) -> str:
 
 def consistent(t: str) -> str:
     """P1 form of a string: NFC, ASCII widths, nothing invisible, Latin letters in words that have any; other words, line ends, tabs, repeated spaces, quotes, dashes and signs stay."""
-    if t.isascii() or not _FAST.search(t):
+    if t.isascii() or not (_FAST.search(t) if len(t) < 200 else table("odd")[codes(t)].any()):
         return t
     t = _DROP.sub("", t).translate(_WIDE)
     return unicodedata.normalize("NFC", _WORD.sub(_word, t))
 
 
+def codes(t: str) -> np.ndarray:
+    """The code points of a string."""
+    return np.frombuffer(t.encode("utf-32-le", "surrogatepass"), np.uint32)
+
+
+@functools.cache
+def table(kind: str) -> np.ndarray:
+    """Of every code point, whether it is odd (may be changed by `consistent`), a white space or digit, or part of a word (as \\w)."""
+    found = np.zeros(0x110000, bool)
+    every = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
+    pattern = {"odd": _FAST, "blank": re.compile(r"[\s\d]"), "word": re.compile(r"\w")}[kind]
+    found[[ord(c) for c in pattern.findall(every)]] = True
+    return found
+
+
+def polynomial(c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Prefix sums of c[i] * B**i modulo 2**64, and the powers of 1/B: with them the hash of any stretch is (sums[end] - sums[start]) * inverse[start]."""
+    power, inverse = _powers(len(c) + 1)
+    sums = np.zeros(len(c) + 1, np.uint64)
+    np.cumsum(c * power[: len(c)], out=sums[1:])
+    return sums, inverse
+
+
+BASE = 0x9E3779B97F4A7C15
+_POWER = [np.concatenate([[np.uint64(1)], np.cumprod(np.full(1 << 14, b, np.uint64))]) for b in (BASE, pow(BASE, -1, 1 << 64))]
+
+
+def _powers(n: int) -> list[np.ndarray]:
+    while len(_POWER[0]) <= n:
+        _POWER[:] = [np.concatenate([p, p[1:] * p[-1]]) for p in _POWER]
+    return _POWER
+
+
 def read(spark: SparkSession, sf: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{table}.parquet")
 

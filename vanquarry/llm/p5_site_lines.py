@@ -13,7 +13,6 @@ site); equal rows, and rows with the same uid, count once; an empty table gives
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,73 +22,73 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from .common import Memo, consistent, h64, host, mix, read, small_rows
+from .common import codes, consistent, cut, host, mix, polynomial, read, small_rows, table
 
 TABLES = ("legal_docs", "court_cases")
 LEAST_DOCS, LEAST_SHARE, MOST_HOSTS, LEAST_WORDS = 5, 0.1, 2, 3
 WINDOW, MASK = 4, 7  # a cut after every eighth character on average
-BASE = 0x9E3779B97F4A7C15 | 1
 _WORDS = regex.compile(r"\p{L}[\p{L}\p{M}]*")
-_OUT = re.compile(r"[\d\s]+")
-_POWERS = np.concatenate([[np.uint64(1)], np.cumprod(np.full(1 << 12, BASE, np.uint64))])
-_INVERSE = np.concatenate([[np.uint64(1)], np.cumprod(np.full(1 << 12, pow(BASE, -1, 1 << 64), np.uint64))])
-
-
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    global _POWERS, _INVERSE
-    while len(_POWERS) <= n:
-        _POWERS = np.concatenate([_POWERS, _POWERS[1:] * _POWERS[-1]])
-        _INVERSE = np.concatenate([_INVERSE, _INVERSE[1:] * _INVERSE[-1]])
-    return _POWERS, _INVERSE
-
-
-def wording(line: str) -> str:
-    """Of a line in consistent form."""
-    return _OUT.sub("", line.lower())
-
-
-def chunks(stream: str) -> tuple[np.ndarray, np.ndarray]:
-    """The ends of the chunks of a stream, and the hashes of the chunks; what follows the last cut is no chunk."""
-    c = np.frombuffer(stream.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-    if len(c) < WINDOW:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    m = len(c) - WINDOW + 1
-    roll = c[:m] * _POWERS[WINDOW]
-    for j in range(1, WINDOW):
-        roll += c[j : m + j] * _POWERS[WINDOW - j]
-    ends = np.flatnonzero(((roll ^ (roll >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(40)) & np.uint64(MASK) == 0) + WINDOW
-    power, inverse = _powers(len(c) + 1)
-    total = np.concatenate([[np.uint64(0)], np.cumsum(c * power[: len(c)])])
-    starts = np.concatenate([[0], ends[:-1]])
-    return ends, mix((total[ends] - total[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
-
-
-_SHORT = Memo(lambda w: np.int64(h64("line " + w)))
-
-
-def analyse(text: str) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Wordings of the lines; hash and line of each chunk that lies in one line; number of the lines too short for one, and their hashes."""
-    words = [wording(x) for x in consistent(text).split("\n")]
-    upto = np.cumsum([len(w) for w in words])
-    ends, hashes = chunks("".join(words))
-    starts = np.concatenate([[0], ends[:-1]]) if len(ends) else ends
-    # a cut is settled by WINDOW characters, so chunks that begin that early in a line depend on what is before it
-    line = np.searchsorted(upto, starts, side="right")
-    first = np.concatenate([[0], upto[:-1]])
-    inside = (ends <= upto[np.minimum(line, len(upto) - 1)]) & (starts >= first[np.minimum(line, len(upto) - 1)] + WINDOW)
-    line, hashes = line[inside], hashes[inside]
-    without = np.ones(len(words), bool)
-    without[line] = False
-    short = np.array([i for i in np.flatnonzero(without) if words[i]], np.int64)
-    return words, hashes.view(np.int64), line, short, np.array([_SHORT[words[i]] for i in short], np.int64)
+
+
+class Scan:
+    """A text as code points: text (consistent, lower case), the line of each, and of the stream without digits and white space the characters, where lines end in it, and the hash of each line's wording (0 for none)."""
+
+    def __init__(self, text: str):
+        self.text = codes(consistent(text).lower()).astype(np.uint64)
+        end = self.text == 10
+        keep = ~table("blank")[self.text]
+        self.stream = self.text[keep]
+        self.upto = np.concatenate([np.cumsum(keep)[end], [len(self.stream)]])
+        self.first = np.concatenate([[0], self.upto[:-1]])
+        self.sums, self.inverse = polynomial(self.stream)
+        self.wording = self.hashes(self.first, self.upto)
+        self.end = end
+
+    def hashes(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Of stretches of the stream; 0 for those of no length."""
+        n = ends - starts
+        return np.where(n > 0, mix((self.sums[ends] - self.sums[starts]) * self.inverse[starts] + n.astype(np.uint64)), np.uint64(0)).view(np.int64)
+
+    def line(self) -> np.ndarray:
+        """The line of each character of the text, from 0."""
+        return np.cumsum(self.end) - self.end
+
+    def cuts(self) -> np.ndarray:
+        """Where content-defined chunks of the stream end; what follows the last is no chunk."""
+        c, m = self.stream, len(self.stream) - WINDOW + 1
+        if m < 1:
+            return np.zeros(0, np.int64)
+        # the rolling hash of WINDOW characters, from the prefix sums
+        roll = (self.sums[WINDOW:] - self.sums[:m]) * self.inverse[:m]
+        return np.flatnonzero(mix(roll) & np.uint64(MASK) == 0) + WINDOW
+
+    def chunks(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Hash and line of each chunk that lies in one line and doesn't depend on what is before it, and the lines that hold no such chunk."""
+        ends = self.cuts()
+        starts = np.concatenate([[0], ends[:-1]]) if len(ends) else ends
+        line = np.searchsorted(self.upto, starts, side="right")
+        at = np.minimum(line, len(self.upto) - 1)
+        # a cut is settled by the WINDOW characters before it
+        inside = (ends <= self.upto[at]) & (starts >= self.first[at] + WINDOW)
+        without = self.upto > self.first
+        without[line[inside]] = False
+        return self.hashes(starts[inside], ends[inside]), line[inside], np.flatnonzero(without)
+
+
+def wording(line: str) -> int:
+    """Hash of a line's wording, as in Scan."""
+    return int(Scan(line.replace("\n", " ")).wording[0])
 
 
 def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for b in batches:
-        for (table, site), part in b.groupby(["table_name", "host"]):
-            each = [np.unique(np.concatenate([a[1], a[4]])) for a in map(analyse, part["raw_text"])]
+        for (name, site), part in b.groupby(["table_name", "host"]):
+            each = []
+            for scan in map(Scan, part["raw_text"]):
+                hashes, _, short = scan.chunks()
+                each.append(np.unique(np.concatenate([hashes, scan.wording[short]])))
             chunk, n = np.unique(np.concatenate(each), return_counts=True)
-            yield pd.DataFrame({"table_name": table, "host": site, "chunk": chunk, "n": n.astype(np.int64)})
+            yield pd.DataFrame({"table_name": name, "host": site, "chunk": chunk, "n": n.astype(np.int64)})
 
 
 def texts(spark: SparkSession, sf: str) -> DataFrame:
@@ -120,13 +119,14 @@ def candidates(rows: DataFrame, hot: DataFrame, broadcast_limit: int) -> DataFra
 
     def lines(part: pd.DataFrame, of) -> pd.DataFrame:
         out = []
-        for table, site, uid, text, chunk in zip(part["table_name"], part["host"], part["uid"], part["raw_text"], of):
-            words, hashes, line, short, own = analyse(text)
+        for name, site, uid, text, chunk in zip(part["table_name"], part["host"], part["uid"], part["raw_text"], of):
+            scan = Scan(text)
+            hashes, line, short = scan.chunks()
             often = np.isin(hashes, chunk)
-            hit = np.concatenate([np.setdiff1d(line[often], line[~often]), short[np.isin(own, chunk)]])
+            hit = np.concatenate([np.setdiff1d(line[often], line[~often]), short[np.isin(scan.wording[short], chunk)]])
             if len(hit):
                 lines = consistent(text).split("\n")
-                out += [(table, site, uid, int(i) + 1, h64(words[i])) for i in hit if len(_WORDS.findall(lines[i])) >= LEAST_WORDS]
+                out += [(name, site, uid, int(i) + 1, int(scan.wording[i])) for i in hit if len(_WORDS.findall(lines[i])) >= LEAST_WORDS]
         return pd.DataFrame(out, columns=["table_name", "host", "uid", "line_no", "wording"])
 
     if few is not None:
@@ -156,7 +156,7 @@ def repeated(rows: DataFrame, least_docs: int = LEAST_DOCS, least_share: float =
     rows = rows.filter("uid is not null and host <> '' and raw_text is not null")
     least = marks(rows, least_docs, least_share)
     hot = chunk_counts(rows).join(least, ["table_name", "host"]).filter("n >= least").select("table_name", "host", "chunk")
-    some = candidates(rows, hot, broadcast_limit).distinct()
+    some = cut(candidates(rows, hot, broadcast_limit).distinct())  # used twice
     counted = some.select("table_name", "host", "wording", "uid").distinct().groupBy("table_name", "host", "wording").agg(F.count("*").alias("n"))
     often = counted.join(least, ["table_name", "host"]).filter("n >= least")
     keep = often.join(often.groupBy("table_name", "wording").agg(F.count("*").alias("hosts")).filter(F.col("hosts") <= most_hosts), ["table_name", "wording"], "left_semi")

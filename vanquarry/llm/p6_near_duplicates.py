@@ -3,8 +3,8 @@
 Method: PartEnum. The features of a text are its sequences of five words. Sets are put into bands by size (a factor of two
 each; a set takes part in its own band and the next, so that two sets that can be similar meet in one). For a band the
 domain of features is partitioned by hashing, several times over; the part of a set that lies in one partition, if it has
-at least LEAST features, is a signature. Of the partitions SLOTS are enumerated. Two sets of Jaccard similarity 0.5 share a
-signature except with probability 5e-7, of similarity 0.6 except with 4e-13 (see `slots`). Copies (equal sets) are one
+at least LEAST features, is a signature. Of the partitions SLOTS are enumerated. Pairs that share SHARED
+signatures are candidates; two sets of Jaccard similarity 0.5 do except with probability 2e-5, of similarity 0.6 except with 4e-11 (see `slots`). Copies (equal sets) are one
 class from the start, so pairs are formed between classes only. A signature shared by more than HOT classes isn't paired
 as such: its members are keyed by it and each other signature of theirs, once more. Every candidate pair is then checked
 exactly on sets made anew from the texts.
@@ -15,7 +15,6 @@ text is that of the least by code points, should they differ); an empty table gi
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,31 +23,31 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import p5_site_lines as p5
-from .common import Memo, consistent, cut, h64, mix, small_rows
+from .common import cut, h64, mix, polynomial, small_rows, table
 
 N_WORDS, THRESHOLD = 5, 0.5
-SLOTS, PER_PART, LEAST, HOT, ALL_PAIRS = 320, 2.7, 3, 200, 64
-_WORD = re.compile(r"\w+")
-
-
-def words(text: str, skip: frozenset | set = frozenset()) -> list[str]:
-    """Words of a text in consistent form and lower case, without the lines whose wording (a hash) is in skip."""
-    t = consistent(text)
-    if skip:
-        t = "\n".join(x for x in t.split("\n") if _HASH[p5.wording(x)] not in skip)
-    return _WORD.findall(t.lower())
+SLOTS, PER_PART, LEAST, SHARED, HOT, ALL_PAIRS = 320, 2.7, 3, 2, 200, 64
+_STEP = [np.uint64(pow(0xD6E8FEB86659FD93, j, 1 << 64)) for j in range(N_WORDS)]
 
 
-_HASH = Memo(h64)
-_ID = Memo(lambda w: h64(w) & 0xFFFFFFFFFFFFFFFF)
-_STEP = [np.uint64(pow(0xD6E8FEB86659FD93, j, 1 << 64)) for j in range(N_WORDS)]
+def words(text: str, skip: np.ndarray | None = None) -> np.ndarray:
+    """Hashes of the words of a text in consistent form and lower case, without the lines whose wording is in skip."""
+    scan = p5.Scan(text)
+    c, part = scan.text, table("word")[scan.text]
+    if skip is not None and len(skip):
+        out = np.isin(scan.wording, skip) & (scan.upto > scan.first)
+        if out.any():
+            part &= ~out[scan.line()]
+    edge = np.diff(part.astype(np.int8), prepend=0, append=0)
+    starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    sums, inverse = polynomial(c)
+    return mix((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
 
 
-def features(ws: list[str]) -> np.ndarray:
-    """The set of hashed five-word sequences, sorted."""
-    if len(ws) < N_WORDS:
+def features(x: np.ndarray) -> np.ndarray:
+    """The set of hashed five-word sequences, sorted, of word hashes."""
+    if len(x) < N_WORDS:
         return np.zeros(0, np.uint64)
-    x = np.fromiter(map(_ID.__getitem__, ws), np.uint64, len(ws))
     m = len(x) - N_WORDS + 1
     total = x[:m].copy()
     for j in range(1, N_WORDS):
@@ -61,8 +60,8 @@ def slots(s: np.ndarray, band: int, n_slots: int = SLOTS) -> np.ndarray:
 
     Partitions hold PER_PART features of a set of the band's lower size on average. With Jaccard similarity J and equal
     sizes, a partition has Poisson(c) common and Poisson(d) other features, c = PER_PART * 2J/(1+J), d = PER_PART * 2(1-J)/(1+J);
-    it gives a shared signature with probability exp(-d) * P(Poisson(c) >= LEAST), 0.043 at J = 0.5; SLOTS partitions all fail with
-    0.957**SLOTS = 5e-7 then.
+    it gives a shared signature with probability exp(-d) * P(Poisson(c) >= LEAST), 0.043 at J = 0.5 and 0.086 at J = 0.6. Of
+    SLOTS partitions that gives 13.8 and 27.4 shared signatures on average, near enough to Poisson: fewer than two with 1.5e-5 and 4e-11.
     """
     n_parts = max(1, round(2**band / PER_PART))
     rounds = -(-n_slots // n_parts)
@@ -90,7 +89,7 @@ def signatures(s: np.ndarray) -> np.ndarray:
 
 def set_id(s: np.ndarray) -> int:
     """Identity of a set: the sum of its mixed features, signed."""
-    return int(np.add.reduce(mix(s ^ np.uint64(0x5851F42D4C957F2D))).view(np.int64))
+    return int(np.add.reduce(mix(s ^ np.uint64(0x5851F42D4C957F2D))).view(np.int64)) if len(s) else 0
 
 
 def with_skips(rows: DataFrame, lines: DataFrame, limit: int) -> tuple[DataFrame, dict | None]:
@@ -101,12 +100,12 @@ def with_skips(rows: DataFrame, lines: DataFrame, limit: int) -> tuple[DataFrame
         return rows.join(w.groupBy("table_name", "host").agg(F.collect_list("wording").alias("skip")), ["table_name", "host"], "left"), None
     by: dict = {}
     for r in few:
-        by.setdefault((r["table_name"], r["host"]), set()).add(r["wording"])
-    return rows, by
+        by.setdefault((r["table_name"], r["host"]), []).append(r["wording"])
+    return rows, {k: np.array(v, np.int64) for k, v in by.items()}
 
 
 def _sets(b: pd.DataFrame, by: dict | None) -> Iterator[np.ndarray]:
-    skips = (by.get(k, ()) for k in zip(b["table_name"], b["host"])) if by is not None else (() if x is None else {*map(int, x)} for x in b["skip"])
+    skips = (by.get(k) for k in zip(b["table_name"], b["host"])) if by is not None else b["skip"]
     for t, skip in zip(b["raw_text"], skips):
         yield features(words(t, skip))
 
@@ -122,7 +121,7 @@ def pairs(rows: DataFrame, threshold: float = THRESHOLD, broadcast_limit: int =
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            out = [(t, u, set_id(s), len(s), signatures(s).view(np.int64)) for t, u, s in zip(b["table_name"], b["uid"], _sets(b, sent.value)) if len(s)]
+            out = [(t, u, set_id(s) ^ h64(t), len(s), (signatures(s) ^ np.uint64(h64(t) & (1 << 64) - 1)).view(np.int64)) for t, u, s in zip(b["table_name"], b["uid"], _sets(b, sent.value)) if len(s)]
             yield pd.DataFrame(out, columns=["table_name", "uid", "set_id", "n", "signatures"])
 
     def again(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -131,15 +130,18 @@ def pairs(rows: DataFrame, threshold: float = THRESHOLD, broadcast_limit: int =
 
     base = cut(rows.mapInPandas(sign, "table_name string, uid string, set_id bigint, n int, signatures array<bigint>"))
     members = base.groupBy("table_name", "uid").agg(F.min("set_id").alias("set_id"))
-    spread = base.select("table_name", "set_id", "n", F.explode("signatures").alias("signature")).repartition("table_name", "signature").distinct()
-    shared = cut(
-        spread.withColumn("size", F.expr("count(*) over (partition by table_name, signature)")).filter("size > 1")
-    )
+    # signatures of one class only go at once; a signature holds its table, so that the rows to sort are narrow
+    w = "over (partition by signature)"
+    spread = base.select("set_id", F.explode("signatures").alias("signature")).withColumns({"lo": F.expr(f"min(set_id) {w}"), "hi": F.expr(f"max(set_id) {w}")})
+    several = spread.filter("lo <> hi").select("signature", "set_id").distinct()
+    size = base.groupBy("table_name", "set_id").agg(F.max("n").alias("n"))
+    shared = cut(several.withColumn("size", F.expr(f"count(*) {w}")).join(size, "set_id"))
     found = _pair(shared.filter(F.col("size") <= HOT), ["signature"], threshold)
     hot = shared.filter(F.col("size") > HOT).select("table_name", "set_id", "n", "signature")
     other = shared.select("table_name", "set_id", F.col("signature").alias("other"))
     twice = hot.join(other, ["table_name", "set_id"]).filter("signature <> other")
-    found = cut(found.unionByName(_pair(twice, ["signature", "other"], threshold)).distinct())
+    found = found.unionByName(_pair(twice, ["signature", "other"], threshold))
+    found = cut(found.groupBy("table_name", "a", "b").agg(F.sum("n").alias("n")).filter(F.col("n") >= SHARED).select("table_name", "a", "b"))
     # the sets of the classes that occur in a candidate pair, each from one of its texts
     ids = found.select("table_name", F.col("a").alias("set_id")).union(found.select("table_name", "b")).distinct()
     one = base.select("table_name", "set_id", "uid").join(ids, ["table_name", "set_id"]).groupBy("table_name", "set_id").agg(F.min("uid").alias("uid"))
@@ -154,7 +156,7 @@ def _pair(df: DataFrame, keys: list[str], threshold: float) -> DataFrame:
     """Candidate pairs of classes that share the keys and can be similar by size."""
     a = df.select("table_name", *keys, F.col("set_id").alias("a"), F.col("n").alias("na"))
     b = df.select("table_name", *keys, F.col("set_id").alias("b"), F.col("n").alias("nb"))
-    return a.join(b, ["table_name", *keys]).filter((F.col("a") < F.col("b")) & (F.least("na", "nb") >= F.greatest("na", "nb") * threshold)).select("table_name", "a", "b").distinct()
+    return a.join(b, ["table_name", *keys]).filter((F.col("a") < F.col("b")) & (F.least("na", "nb") >= F.greatest("na", "nb") * threshold)).groupBy("table_name", "a", "b").agg(F.count("*").alias("n"))
 
 
 def found(rows: DataFrame) -> DataFrame:
