@@ -92,7 +92,7 @@ def split_articles(docs: DataFrame, raw: str = "raw_text") -> DataFrame:
     without a name is dropped if its article is short. Articles without text are left out. The name after the number is the
     column heading; title is '' as it is in the delivered data. Documents without text, number or uid give nothing.
     """
-    body = text.nfc(F.col(raw))
+    body = F.concat(F.lit("\n"), text.nfc(F.col(raw)))  # so that something comes before the first heading
     cuts = F.split(body, rf"(?miu)^(?={HEADING})", -1)
     get = lambda s, i: F.regexp_extract(s, rf"(?iu)\A{HEADING}", i)
     rest = lambda s: F.substring(s, F.char_length(get(s, 0)) + 1, F.char_length(s))

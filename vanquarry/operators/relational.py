@@ -64,10 +64,8 @@ def alias_keys(*names: str, missing: str = "unknown") -> Column:
 
 def any_like(columns: list[str], patterns: Column) -> Column:
     """Any column contains any of the patterns, in any case."""
-    hit = F.lit(False)
-    for c in columns:
-        hit |= F.exists(patterns, lambda p, c=c: F.lower(F.coalesce(F.col(c), F.lit(""))).contains(F.lower(p)))
-    return hit
+    whole = F.lower(F.concat_ws("\n", *columns))
+    return F.exists(patterns, lambda p: whole.contains(F.lower(p)))
 
 
 def seeded(key: Column, seed: int | str = 0) -> Column:
@@ -157,7 +155,7 @@ def until_gap(pages: DataFrame, key: str, order: str, hit: str, gap: int = 10) -
     w = Window.partitionBy(key).orderBy(order)
     rows = pages.withColumn("_run", F.sum(F.col(hit).cast("int")).over(w)).withColumn("_in_run", F.row_number().over(Window.partitionBy(key, "_run").orderBy(order)) - F.when(F.col("_run") > 0, 1).otherwise(0))
     stop = F.max(F.when(F.col("_in_run") >= gap, 1).otherwise(0)).over(w.rowsBetween(Window.unboundedPreceding, -1))
-    return rows.filter(F.coalesce(stop, F.lit(0)) == 0).drop("_run", "_in_run")
+    return rows.withColumn("_stop", stop).filter(F.coalesce("_stop", F.lit(0)) == 0).drop("_run", "_in_run", "_stop")
 
 
 def search(docs: DataFrame, params: DataFrame, top: int = 5, pool: int = 300) -> DataFrame:
