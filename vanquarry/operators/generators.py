@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from vanquarry.functions import text
 from vanquarry.operators import relational as rel
@@ -19,7 +20,7 @@ def complete(prompts: DataFrame, ask: Callable[[str], str]) -> DataFrame:
     """Adds completion and latency_sec to prompts(prompt, ...), asking batch by batch in the tasks; an error gives ''."""
     import time
 
-    schema = prompts.schema.add("completion", "string").add("latency_sec", "double")
+    schema = StructType([*prompts.schema.fields, StructField("completion", StringType()), StructField("latency_sec", DoubleType())])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:

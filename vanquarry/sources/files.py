@@ -102,6 +102,6 @@ def read_documents(spark: SparkSession, path: str, pdf=None) -> DataFrame:
     """(path, text) of a directory of .txt, .docx and, with an adapter, .pdf files; other types raise an error when they are reached."""
     rows = spark.read.format("binaryFile").load(path)
     kind = F.lower(F.regexp_extract("path", r"\.([^./]+)$", 1))
-    body = F.when(kind == "txt", F.decode("content", F.lit("UTF-8"))).when(kind == "docx", docx_text("content"))
+    body = F.when(kind == "txt", F.decode("content", "UTF-8")).when(kind == "docx", docx_text("content"))
     body = body.when(kind == "pdf", pdf("content")) if pdf else body
     return rows.select("path", body.otherwise(F.raise_error(F.concat(F.lit("unsupported file type: "), "path"))).alias("text"))
