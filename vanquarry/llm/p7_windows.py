@@ -97,18 +97,24 @@ def plan(histogram: dict[int, int], capacity: int, rounds: int = ROUNDS, rate: f
     counts = np.array([histogram[s] for s in sizes.tolist()], np.int64)
     if not len(sizes):
         return []
-    # multiplicative weights for the covering program: coverage is the share of each length's items in configurations so far
+    # multiplicative weights for the covering program, begun at the dual solution "value = length": coverage is the share of each
+    # length's items in the configurations so far, and what is covered more than others loses value
     use: Counter = Counter()
     coverage = np.zeros(len(sizes))
     step = max(1.0, float((sizes * counts).sum()) / capacity) / rounds
     for _ in range(rounds):
-        weight = np.exp(-rate * rounds / 10 * (coverage - coverage.min())) * sizes
+        weight = np.exp(-rate * rounds / 10 * (coverage - coverage.mean())) * sizes
         found = knapsack(sizes, weight, counts, capacity)
         amount = min([step, *(counts[i] / n for i, n in found.items())])
-        key = tuple(sorted(found.items()))
-        use[key] += amount
+        use[tuple(sorted(found.items()))] += amount
         for i, n in found.items():
             coverage[i] += amount * n / counts[i]
+    # rounding: of the configurations, those at least so full (2: none), in order of their counts; the best division is kept
+    return min((_round(sizes, counts, capacity, use, least) for least in (0.0, 0.99, 0.998, 1.0, 2.0)), key=lambda p: sum(t for t, _ in p))
+
+
+def _round(sizes: np.ndarray, counts: np.ndarray, capacity: int, use: Counter, least: float) -> list[tuple[int, dict[int, int]]]:
+    """The configurations' counts rounded down, and what is left filled by further configurations."""
     left, out = counts.copy(), []
 
     def take(found, times: int) -> None:
@@ -119,8 +125,9 @@ def plan(histogram: dict[int, int], capacity: int, rounds: int = ROUNDS, rate: f
             out.append((times, {int(sizes[i]): n for i, n in found}))
 
     for found, x in use.most_common():
-        take(found, int(x))
-    # the rest: fullest configurations, those with large items first
+        if sum(int(sizes[i]) * n for i, n in found) >= least * capacity:
+            take(found, int(x))
+    # the fullest configuration with the largest item left
     while left.any():
         on = np.flatnonzero(left)
         big = on[-1]
@@ -128,8 +135,7 @@ def plan(histogram: dict[int, int], capacity: int, rounds: int = ROUNDS, rate: f
         found = Counter({int(big): 1})
         fit = on[sizes[on] <= room]
         if len(fit):
-            most = left[fit] - (fit == big)
-            for i, n in knapsack(sizes[fit], sizes[fit].astype(float), most, room).items():
+            for i, n in knapsack(sizes[fit], sizes[fit].astype(float), left[fit] - (fit == big), room).items():
                 found[int(fit[i])] += n
         take(sorted(found.items()), int(left.max()))
     return out
