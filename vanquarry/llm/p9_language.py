@@ -23,15 +23,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Memo, consistent, read
+from .common import consistent, read
 
 LANGUAGES = ("en", "fr", "ru", "vi", "zh")
 ORDER, SAMPLE, DISCOUNT, HELD_OUT, SLACK = 5, 400, 0.75, 5, 1.25
-_WORD = regex.compile(r"\p{Han}|(?:(?!\p{Han})[\p{L}\p{M}])+")
+ALPHABET = 1 << 16  # below order 1 all characters are as likely
+_HAN = "㐀-䶿一-鿿豈-﫿"
+_WORD = re.compile(rf"[{_HAN}]|[^\W\d_{_HAN}]+")
 _SENTENCE = re.compile(r"(?<=[.!?。！？；;:])")
 _POWER = [np.uint64(pow(0x9E3779B97F4A7C15, k, 1 << 64)) for k in range(ORDER)]
 
@@ -71,7 +72,6 @@ class Model:
         h, word = grams(ws)
         times = np.array([counts[w] for w in ws], np.float64)[word]
         context = contexts(ws)
-        self.n_chars = 1 + len(np.unique(h[0]))
         self.seen, self.back = [], []
         # Kneser-Ney: below the top order an n-gram counts by the different characters before it
         previous: tuple | None = None  # n-grams and probabilities of the next lower order
@@ -93,7 +93,7 @@ class Model:
             cg, ci = np.unique(ctx, return_inverse=True)
             total, kinds = np.bincount(ci, n), np.bincount(ci)
             weight = DISCOUNT * kinds / total
-            lower = 1 / self.n_chars if previous is None else previous[1][np.searchsorted(previous[0], h[k - 1][first])]
+            lower = 1 / ALPHABET if previous is None else previous[1][np.searchsorted(previous[0], h[k - 1][first])]
             p = np.maximum(n - DISCOUNT, 0) / total[ci] + weight[ci] * lower
             previous = g, p
             self.seen.append((g, np.log(p)))
@@ -101,7 +101,7 @@ class Model:
 
     def cost(self, h: np.ndarray, ctx: list[np.ndarray]) -> np.ndarray:
         """Negative log probability of each character."""
-        out = np.log(self.n_chars) - self._weight(0, ctx[0])
+        out = np.log(ALPHABET) - self._weight(0, ctx[0])
         for k in range(ORDER):
             g, p = self.seen[k]
             if not len(g):
@@ -140,10 +140,11 @@ class Models:
         self.languages = sorted(counts)
         self.models = {x: Model(counts[x]) for x in self.languages}
         self.limit = dict.fromkeys(self.languages, np.inf)
-        self.cache = Memo(None, 200_000)
+        self.place: dict[str, int] = {}
+        self.known = np.zeros((0, len(self.languages)))
 
     def __getstate__(self):
-        return self.__dict__ | {"cache": None}
+        return self.__dict__ | {"place": {}, "known": self.known[:0]}
 
     def costs(self, ws: list[str]) -> np.ndarray:
         """Per word and language, over the word's characters and its end."""
@@ -152,24 +153,36 @@ class Models:
         return np.stack([np.bincount(word, self.models[x].cost(h, ctx), len(ws)) for x in self.languages], 1)
 
     def learn(self, tokens: set[str]) -> None:
-        if self.cache is None:
-            self.cache = {}
-        if len(self.cache) + len(tokens) > 400_000:
-            self.cache.clear()
-        new = [w for w in tokens if w not in self.cache]
+        """Costs of words not met before; what is kept of earlier batches is bounded."""
+        if len(self.place) + len(tokens) > 400_000:
+            self.place, self.known = {}, self.known[:0]
+        new = [w for w in tokens if w not in self.place]
+        found = [self.known]
         for a in range(0, len(new), 50_000):
-            part = new[a : a + 50_000]
-            self.cache.update(zip(part, self.costs(part)))
-
-    def classify(self, ws: list[str]) -> tuple[str, float, float]:
-        """Language, its probability against the next best, cross-entropy; the words must have been learnt."""
-        n = sum(map(len, ws)) + len(ws)
-        cost = np.sum([self.cache[w] for w in ws], 0)
-        order = np.argsort(cost, kind="stable")
-        best = self.languages[order[0]]
-        margin = cost[order[1]] - cost[order[0]] if len(order) > 1 else 50.0
-        entropy = cost[order[0]] / n
-        return ("und" if entropy > self.limit[best] else best), float(1 / (1 + np.exp(-min(margin, 50.0)))), float(entropy)
+            found.append(self.costs(new[a : a + 50_000]))
+        self.place.update(zip(new, range(len(self.place), len(self.place) + len(new))))
+        self.known = np.concatenate(found)
+
+    def classify(self, units: list[list[str]]) -> list[tuple[str, float, float]]:
+        """Of lists of words: language, its probability against the next best, cross-entropy per character."""
+        if not units:
+            return []
+        size = np.array(list(map(len, units)))
+        self.learn({w for ws in units for w in ws})
+        at = np.fromiter((self.place[w] for ws in units for w in ws), np.int64, size.sum())
+        starts = np.cumsum(size) - size
+        n = np.add.reduceat(np.fromiter((len(w) + 1 for ws in units for w in ws), np.int64, size.sum()), starts)
+        cost = np.add.reduceat(self.known[at], starts, axis=0)
+        best = cost.argmin(1)
+        row = np.arange(len(units))
+        least = cost[row, best]
+        margin = np.full(len(units), 50.0)
+        if cost.shape[1] > 1:
+            margin = np.minimum(np.partition(cost, 1, axis=1)[:, 1] - least, 50.0)
+        entropy = least / n
+        out = entropy > np.array([self.limit[x] for x in self.languages])[best]
+        p = 1 / (1 + np.exp(-margin))
+        return [("und" if o else self.languages[i], x, e) for o, i, x, e in zip(out.tolist(), best.tolist(), p.tolist(), entropy.tolist())]
 
 
 def fit(rows: list[tuple[str, str]]) -> Models | None:
@@ -185,8 +198,7 @@ def fit(rows: list[tuple[str, str]]) -> Models | None:
         if not counts:
             return None
         models = Models(counts)
-        models.learn({w for _, ws in units for w in ws})
-        kept = [(lang, ws) for lang, ws in units if models.classify(ws)[0] == lang]
+        kept = [u for u, (lang, _, _) in zip(units, models.classify([ws for _, ws in units])) if lang == u[0]]
     # limits of rejection: every HELD_OUT-th sentence is scored by models fitted on the others
     counts = {x: Counter() for x in models.languages}
     for i, (lang, ws) in enumerate(kept):
@@ -198,9 +210,9 @@ def fit(rows: list[tuple[str, str]]) -> Models | None:
     if set(counts) == set(models.languages):
         other = Models(counts)
         held = kept[::HELD_OUT]
-        other.learn({w for _, ws in held for w in ws})
+        scored = list(zip(held, other.classify([ws for _, ws in held])))
         for lang in models.languages:
-            e = [other.classify(ws)[2] for x, ws in held if x == lang and len(ws) > 2]
+            e = [entropy for (x, ws), (_, _, entropy) in scored if x == lang and len(ws) > 2]
             if e:
                 models.limit[lang] = SLACK * float(np.max(e))
     return models
@@ -211,11 +223,10 @@ def sentences(text: str) -> list[tuple[int, list[str], int]]:
     return [(no, ws, len("".join(s.split()))) for no, line in enumerate(consistent(text).split("\n"), 1) for s in _SENTENCE.split(line) if (ws := words(s))]
 
 
-def paragraphs(models: Models, parts: list[tuple[int, list[str], int]]) -> list[tuple[int, str, float, int]]:
-    """(para_no, language, confidence, non-blank characters) from sentences, whose words must have been learnt; para_no 0 is the document."""
+def paragraphs(parts: list[tuple[int, int, str, float]]) -> list[tuple[int, str, float, int]]:
+    """(para_no, language, confidence, non-blank characters) from sentences (paragraph, characters, language, probability); para_no 0 is the document."""
     each: dict[int, dict[str, list[float]]] = {}
-    for no, ws, n in parts:
-        lang, p, _ = models.classify(ws)
+    for no, n, lang, p in parts:
         for k in (0, no):
             x = each.setdefault(k, {}).setdefault(lang, [0, 0.0])
             x[0] += n
@@ -233,7 +244,9 @@ def sample(docs: DataFrame, n: int = SAMPLE) -> list[tuple[str, str]]:
     labelled = docs.filter(F.col("lang").isin(*LANGUAGES) & F.col("text").isNotNull())
     out = []
     for lang in LANGUAGES:
-        out += [(lang, r["text"]) for r in labelled.filter(F.col("lang") == lang).select("doc_id", "text").orderBy(F.xxhash64("doc_id"), "doc_id").limit(n).collect()]
+        # ids first, so that every task sends n narrow rows at most, then the texts of the chosen ones
+        ids = [r["doc_id"] for r in labelled.filter(F.col("lang") == lang).select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(n).collect()]
+        out += [(lang, t) for _, t in sorted({(r["doc_id"], r["text"]) for r in labelled.filter((F.col("lang") == lang) & F.col("doc_id").isin(ids)).select("doc_id", "text").collect()})]
     return out
 
 
@@ -249,9 +262,9 @@ def languages(docs: DataFrame, models: Models | None) -> DataFrame:
         for b in batches:
             out = []
             parts = [sentences(t) for t in b["text"]]
-            m.learn({w for p in parts for _, ws, _ in p for w in ws})
+            found = iter(m.classify([ws for p in parts for _, ws, _ in p]))
             for doc_id, stored, p in zip(b["doc_id"], b["lang"], parts):
-                ps = paragraphs(m, p)
+                ps = paragraphs([(no, n, *next(found)[:2]) for no, _, n in p])
                 out += [(doc_id, stored, no, lang, conf, ps[0][1]) for no, lang, conf, _ in ps]
             yield pd.DataFrame(out, columns=["doc_id", "stored", "para_no", "lang", "confidence", "document_lang"])
 
