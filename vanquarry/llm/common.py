@@ -30,32 +30,54 @@ _INVISIBLE = "͏ᅟᅠ឴឵᠋-᠏ㅤ︀-️ﾠ"
 _SPACES = "   -   　"
 _SINGLETONS = "̀́̓̈́ΩKÅ豈-﫿ᄀ-ᇿ"
 _LATIN_ODD = "ðÐƉɖɑɡıɩʋ"
-#: A character that a consistent value does not hold, or holds only in a foreign word; valid in Java and in the regex module.
-SUSPECT = rf"[\p{{Cf}}\p{{M}}\p{{IsGreek}}\p{{IsCyrillic}}\p{{IsArmenian}}{_INVISIBLE}{_SPACES}{_SINGLETONS}！-～{_LATIN_ODD}\x{{1d400}}-\x{{1d7ff}}]"
 _GREEK_CYR = "Ͱ-ϿЀ-ԯ԰-֏"
-# The same in the faster module re: a superset of SUSPECT for the scripts at hand, then checked in full.
+#: Characters that a consistent value doesn't hold, or only in a foreign word.
 _FAST = re.compile(rf"[­̀-ͯ{_GREEK_CYR}؀-؅؜۝܏{_INVISIBLE}{_SPACES}​-‏‪-‮⁠-⁯﻿￹-￻{_SINGLETONS}！-～{_LATIN_ODD}᪰-᫿᷀-᷿⃐-⃿︠-︯ऀ-෿\U0001d400-\U0001d7ff\U000e0000-\U000e01ef]")
 _DROP = regex.compile(rf"[\p{{Cf}}{_INVISIBLE}]+")
 _WIDE = {c: c - 0xFEE0 for c in range(0xFF01, 0xFF5F)} | {c: " " for c in (0xA0, 0x1680, *range(0x2000, 0x200B), 0x202F, 0x205F, 0x3000)}
-_WORD = regex.compile(rf"[\p{{L}}\p{{M}}]*[{_GREEK_CYR}{_LATIN_ODD}\U0001d400-\U0001d7ff][\p{{L}}\p{{M}}]*")
+_CONFUSABLE = re.compile(rf"[{_GREEK_CYR}{_LATIN_ODD}\U0001d400-\U0001d7ff]")
+_WIDE_CHAR = re.compile(rf"[！-～{_SPACES}]")
 _LATIN = regex.compile(r"\p{Latin}")
 _MATH = re.compile("[\U0001d400-\U0001d7ff]")
 _LOOK = str.maketrans(LOOKALIKES)
 
 
-def _word(m: regex.Match) -> str:
-    w = m.group()
+def _word(w: str) -> str:
     if _MATH.search(w):
         w = _MATH.sub(lambda x: unicodedata.normalize("NFKC", x.group()), w)
     return w.translate(_LOOK) if _LATIN.search(w) else w
 
 
+def _words(t: str) -> str:
+    """Look-alike letters replaced in words (runs of letters and marks) that have a Latin letter."""
+    out, at = [], 0
+    part = lambda c: c.isalpha() or unicodedata.category(c)[0] == "M"
+    for m in _CONFUSABLE.finditer(t):
+        i = m.start()
+        if i >= at:
+            j = m.end()
+            while i > at and part(t[i - 1]):
+                i -= 1
+            while j < len(t) and part(t[j]):
+                j += 1
+            out += [t[at:i], _word(t[i:j])]
+            at = j
+    return "".join(out) + t[at:] if out else t
+
+
+def odd(t: str) -> bool:
+    """Whether a string holds a character that its consistent form may not hold."""
+    return not t.isascii() and bool(_FAST.search(t) if len(t) < 200 else table("odd")[codes(t)].any())
+
+
 def consistent(t: str) -> str:
     """P1 form of a string: NFC, ASCII widths, nothing invisible, Latin letters in words that have any; other words, line ends, tabs, repeated spaces, quotes, dashes and signs stay."""
-    if t.isascii() or not (_FAST.search(t) if len(t) < 200 else table("odd")[codes(t)].any()):
+    if not odd(t):
         return t
-    t = _DROP.sub("", t).translate(_WIDE)
-    return unicodedata.normalize("NFC", _WORD.sub(_word, t))
+    t = _DROP.sub("", t)
+    if _WIDE_CHAR.search(t):
+        t = t.translate(_WIDE)
+    return unicodedata.normalize("NFC", _words(t))
 
 
 def codes(t: str) -> np.ndarray:

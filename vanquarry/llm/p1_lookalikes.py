@@ -11,15 +11,18 @@ unchanged (null stays null); an empty table gives an empty result; repeated rows
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from .common import SUSPECT, consistent, read
+from .common import consistent, cut, odd, read
 
 FIELDS = (("legal_docs", "raw_text"), ("legal_docs", "title"), ("court_cases", "court_name"), ("court_cases", "raw_text"))
-WORD = rf"[^ \t\r\n\f]*?{SUSPECT}[^ \t\r\n\f]*"
+WORD = re.compile(r"[^ \t\r\n\f]+")
 
 
 @F.pandas_udf(StringType())
@@ -27,6 +30,12 @@ def _fold(s: pd.Series) -> pd.Series:
     return s.map(consistent, na_action="ignore")
 
 
+def _words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for b in batches:
+        out = [(f, i, w) for f, i, v in zip(b["field_name"], b["item_id"], b["value"]) if odd(v) for w in set(WORD.findall(v)) if odd(w)]
+        yield pd.DataFrame(out, columns=["field_name", "item_id", "word"])
+
+
 def values(spark: SparkSession, sf: str, fields=FIELDS) -> DataFrame:
     """(field_name, item_id, value) of the fields, all rows."""
     out = None
@@ -39,11 +48,8 @@ def values(spark: SparkSession, sf: str, fields=FIELDS) -> DataFrame:
 def variants(df: DataFrame) -> DataFrame:
     """(field_name, item_id, word, canonical): each word of df(field_name, item_id, value) that differs from its class's canonical member, once per item."""
     spark = df.sparkSession
-    words = (
-        df.filter(F.col("value").rlike(SUSPECT))
-        .select("field_name", "item_id", F.explode(F.array_distinct(F.regexp_extract_all("value", F.lit(WORD), F.lit(0)))).alias("word"))
-        .distinct()
-    )
+    rows = df.filter("value is not null").select("field_name", "item_id", "value")
+    words = cut(rows.mapInPandas(_words, "field_name string, item_id string, word string").distinct())  # used three times
     vocabulary = words.select("word").distinct().withColumn("mapped", _fold("word"))
     classes = spark.sql(
         """
@@ -59,15 +65,11 @@ def variants(df: DataFrame) -> DataFrame:
 
 @F.pandas_udf(StringType())
 def _replace(value: pd.Series, words: pd.Series) -> pd.Series:
-    import regex
-
-    find = regex.compile(WORD.replace(r"\x{1d400}", "\U0001d400").replace(r"\x{1d7ff}", "\U0001d7ff"))
-
     def one(v, w):
         if v is None or w is None:
             return v
         to = {x["word"]: x["canonical"] for x in w}
-        return find.sub(lambda m: to.get(m.group(), m.group()), v)
+        return WORD.sub(lambda m: to.get(m.group(), m.group()), v)
 
     return pd.Series([one(v, w) for v, w in zip(value, words)])
 
