@@ -1,7 +1,7 @@
 """P5: lines repeated across one site's documents.
 
 Method: each text, in consistent form without digits, letter case and white space, is one stream of characters that
-content-defined chunking cuts where a rolling hash of the last WINDOW characters has its low bits zero; line ends play no
+content-defined chunking cuts where a rolling hash of the last WINDOW characters has its top bits zero; line ends play no
 part. Documents are counted per chunk and site. A line all of whose chunks are counted often enough is a candidate (a
 line too short to hold a whole chunk counts as a chunk of its own); on the candidates, which are few, the exact rule is
 checked: distinct uids per wording and site, both marks, at most two sites.
@@ -22,36 +22,38 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from .common import codes, consistent, cut, host, mix, polynomial, read, small_rows, table
+from .common import Memo, codes, consistent, cut, host, mix, polynomial, read, small_rows, table
 
 TABLES = ("legal_docs", "court_cases")
 LEAST_DOCS, LEAST_SHARE, MOST_HOSTS, LEAST_WORDS = 5, 0.1, 2, 3
-WINDOW, MASK = 4, 7  # a cut after every eighth character on average
+WINDOW, BITS = 4, 4  # a cut after every 2**BITS characters on average
 _WORDS = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 
+_ENOUGH = Memo(lambda line: len(_WORDS.findall(line)) >= LEAST_WORDS, 100_000)
+
 
 class Scan:
     """A text as code points: text (consistent, lower case), the line of each, and of the stream without digits and white space the characters, where lines end in it, and the hash of each line's wording (0 for none)."""
 
     def __init__(self, text: str):
-        self.text = codes(consistent(text).lower()).astype(np.uint64)
-        end = self.text == 10
+        self.string = consistent(text)
+        self.text = codes(self.string.lower())
+        self.end = np.flatnonzero(self.text == 10)
         keep = ~table("blank")[self.text]
         self.stream = self.text[keep]
-        self.upto = np.concatenate([np.cumsum(keep)[end], [len(self.stream)]])
+        self.upto = np.cumsum(np.add.reduceat(keep, np.concatenate([[0], self.end]), dtype=np.int64)) if len(keep) else np.zeros(1, np.int64)
         self.first = np.concatenate([[0], self.upto[:-1]])
         self.sums, self.inverse = polynomial(self.stream)
         self.wording = self.hashes(self.first, self.upto)
-        self.end = end
 
     def hashes(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Of stretches of the stream; 0 for those of no length."""
         n = ends - starts
         return np.where(n > 0, mix((self.sums[ends] - self.sums[starts]) * self.inverse[starts] + n.astype(np.uint64)), np.uint64(0)).view(np.int64)
 
-    def line(self) -> np.ndarray:
-        """The line of each character of the text, from 0."""
-        return np.cumsum(self.end) - self.end
+    def line(self, places: np.ndarray) -> np.ndarray:
+        """The line of characters of the text, from 0."""
+        return np.searchsorted(self.end, places, side="left")
 
     def cuts(self) -> np.ndarray:
         """Where content-defined chunks of the stream end; what follows the last is no chunk."""
@@ -60,7 +62,7 @@ class Scan:
             return np.zeros(0, np.int64)
         # the rolling hash of WINDOW characters, from the prefix sums
         roll = (self.sums[WINDOW:] - self.sums[:m]) * self.inverse[:m]
-        return np.flatnonzero(mix(roll) & np.uint64(MASK) == 0) + WINDOW
+        return np.flatnonzero(roll * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(64 - BITS) == 0) + WINDOW
 
     def chunks(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Hash and line of each chunk that lies in one line and doesn't depend on what is before it, and the lines that hold no such chunk."""
@@ -125,8 +127,8 @@ def candidates(rows: DataFrame, hot: DataFrame, broadcast_limit: int) -> DataFra
             often = np.isin(hashes, chunk)
             hit = np.concatenate([np.setdiff1d(line[often], line[~often]), short[np.isin(scan.wording[short], chunk)]])
             if len(hit):
-                lines = consistent(text).split("\n")
-                out += [(name, site, uid, int(i) + 1, int(scan.wording[i])) for i in hit if len(_WORDS.findall(lines[i])) >= LEAST_WORDS]
+                lines = scan.string.split("\n")
+                out += [(name, site, uid, int(i) + 1, int(scan.wording[i])) for i in hit if _ENOUGH[lines[i]]]
         return pd.DataFrame(out, columns=["table_name", "host", "uid", "line_no", "wording"])
 
     if few is not None:
@@ -154,7 +156,7 @@ def candidates(rows: DataFrame, hot: DataFrame, broadcast_limit: int) -> DataFra
 def repeated(rows: DataFrame, least_docs: int = LEAST_DOCS, least_share: float = LEAST_SHARE, most_hosts: int = MOST_HOSTS, broadcast_limit: int = 200_000) -> DataFrame:
     """(table_name, host, uid, line_no, wording): the repeated lines of rows(table_name, uid, host, raw_text); wording is a hash."""
     rows = rows.filter("uid is not null and host <> '' and raw_text is not null")
-    least = marks(rows, least_docs, least_share)
+    least = cut(marks(rows, least_docs, least_share))  # used three times
     hot = chunk_counts(rows).join(least, ["table_name", "host"]).filter("n >= least").select("table_name", "host", "chunk")
     some = cut(candidates(rows, hot, broadcast_limit).distinct())  # used twice
     counted = some.select("table_name", "host", "wording", "uid").distinct().groupBy("table_name", "host", "wording").agg(F.count("*").alias("n"))

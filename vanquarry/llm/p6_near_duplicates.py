@@ -4,7 +4,7 @@ Method: PartEnum. The features of a text are its sequences of five words. Sets a
 each; a set takes part in its own band and the next, so that two sets that can be similar meet in one). For a band the
 domain of features is partitioned by hashing, several times over; the part of a set that lies in one partition, if it has
 at least LEAST features, is a signature. Of the partitions SLOTS are enumerated. Pairs that share SHARED
-signatures are candidates; two sets of Jaccard similarity 0.5 do except with probability 2e-5, of similarity 0.6 except with 4e-11 (see `slots`). Copies (equal sets) are one
+signatures are candidates; two sets of Jaccard similarity 0.5 do except with probability 6e-5, of similarity 0.6 except with 5e-10 (see `slots`). Copies (equal sets) are one
 class from the start, so pairs are formed between classes only. A signature shared by more than HOT classes isn't paired
 as such: its members are keyed by it and each other signature of theirs, once more. Every candidate pair is then checked
 exactly on sets made anew from the texts.
@@ -26,7 +26,7 @@ from . import p5_site_lines as p5
 from .common import cut, h64, mix, polynomial, small_rows, table
 
 N_WORDS, THRESHOLD = 5, 0.5
-SLOTS, PER_PART, LEAST, SHARED, HOT, ALL_PAIRS = 320, 2.7, 3, 2, 200, 64
+SLOTS, PER_PART, LEAST, SHARED, HOT, ALL_PAIRS = 288, 2.7, 3, 2, 200, 64
 _STEP = [np.uint64(pow(0xD6E8FEB86659FD93, j, 1 << 64)) for j in range(N_WORDS)]
 
 
@@ -34,12 +34,19 @@ def words(text: str, skip: np.ndarray | None = None) -> np.ndarray:
     """Hashes of the words of a text in consistent form and lower case, without the lines whose wording is in skip."""
     scan = p5.Scan(text)
     c, part = scan.text, table("word")[scan.text]
+    edge = np.empty(len(part) + 1, bool)
+    if len(part):
+        edge[0], edge[-1] = part[0], part[-1]
+        np.not_equal(part[1:], part[:-1], out=edge[1:-1])
+    else:
+        edge[:] = False
+    at = np.flatnonzero(edge)
+    starts, ends = at[::2], at[1::2]
     if skip is not None and len(skip):
         out = np.isin(scan.wording, skip) & (scan.upto > scan.first)
         if out.any():
-            part &= ~out[scan.line()]
-    edge = np.diff(part.astype(np.int8), prepend=0, append=0)
-    starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+            stay = ~out[scan.line(starts)]
+            starts, ends = starts[stay], ends[stay]
     sums, inverse = polynomial(c)
     return mix((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
 
@@ -61,25 +68,27 @@ def slots(s: np.ndarray, band: int, n_slots: int = SLOTS) -> np.ndarray:
     Partitions hold PER_PART features of a set of the band's lower size on average. With Jaccard similarity J and equal
     sizes, a partition has Poisson(c) common and Poisson(d) other features, c = PER_PART * 2J/(1+J), d = PER_PART * 2(1-J)/(1+J);
     it gives a shared signature with probability exp(-d) * P(Poisson(c) >= LEAST), 0.043 at J = 0.5 and 0.086 at J = 0.6. Of
-    SLOTS partitions that gives 13.8 and 27.4 shared signatures on average, near enough to Poisson: fewer than two with 1.5e-5 and 4e-11.
+    SLOTS partitions that gives 12.4 and 24.7 shared signatures on average, near enough to Poisson: fewer than two with 6e-5 and 5e-10.
     """
     n_parts = max(1, round(2**band / PER_PART))
-    rounds = -(-n_slots // n_parts)
+    value = mix(s)
+    low, high = (value & np.uint64(0xFFFFFFFF)).astype(np.float64), (value >> np.uint64(32)).astype(np.float64)
     out = []
-    for r in range(rounds):
-        h = mix(s + np.uint64((r + 1) * 0x9E3779B97F4A7C15 + band & 0xFFFFFFFFFFFFFFFF))
-        part = h % np.uint64(n_parts)
-        use = part < np.uint64(min(n_parts, n_slots - r * n_parts))
-        part = part[use].astype(np.int64)
-        if not len(part):
-            continue
-        top = int(part.max()) + 1
-        n = np.bincount(part, minlength=top)
-        total = np.zeros(top, np.uint64)
-        np.add.at(total, part, mix(h[use]))
+    for r in range(-(-n_slots // n_parts)):
+        # the features are hashes already: a multiplication with an odd number of the round's own spreads them anew
+        h = s * np.uint64(((r + 1) * 0x9E3779B97F4A7C15 + 2 * band * 0xBF58476D1CE4E5B9 & 0xFFFFFFFFFFFFFFFF) | 1)
+        part = ((h >> np.uint64(32)) * np.uint64(n_parts) >> np.uint64(32)).astype(np.int64)
+        most = min(n_parts, n_slots - r * n_parts)
+        use = slice(None)
+        if most < n_parts:
+            use = part < most
+            part = part[use]
+        n = np.bincount(part, minlength=most)
         full = np.flatnonzero(n >= LEAST)
-        out.append(mix(total[full] + full.astype(np.uint64) * np.uint64(0xA24BAED4963EE407) + np.uint64(band * 1000003 + r)))
-    return np.concatenate(out) if out else np.zeros(0, np.uint64)
+        # sums of halves stay below 2**53, hence exact
+        a, b = (np.bincount(part, x[use], most)[full].astype(np.uint64) for x in (low, high))
+        out.append(mix(mix(a) + b + full.astype(np.uint64) * np.uint64(0xA24BAED4963EE407) + np.uint64(band * 1000003 + r)))
+    return np.concatenate(out)
 
 
 def signatures(s: np.ndarray) -> np.ndarray:
@@ -144,7 +153,9 @@ def pairs(rows: DataFrame, threshold: float = THRESHOLD, broadcast_limit: int =
     found = cut(found.groupBy("table_name", "a", "b").agg(F.sum("n").alias("n")).filter(F.col("n") >= SHARED).select("table_name", "a", "b"))
     # the sets of the classes that occur in a candidate pair, each from one of its texts
     ids = found.select("table_name", F.col("a").alias("set_id")).union(found.select("table_name", "b")).distinct()
-    one = base.select("table_name", "set_id", "uid").join(ids, ["table_name", "set_id"]).groupBy("table_name", "set_id").agg(F.min("uid").alias("uid"))
+    one = cut(base.select("table_name", "set_id", "uid").join(ids, ["table_name", "set_id"]).groupBy("table_name", "set_id").agg(F.min("uid").alias("uid")))
+    if one.count() <= broadcast_limit:
+        one = F.broadcast(one)  # else the texts are shuffled to meet the classes
     full = cut(rows.join(one, ["table_name", "uid"]).mapInPandas(again, "table_name string, set_id bigint, features array<bigint>").dropDuplicates(["table_name", "set_id"]))
     a, b = (full.select("table_name", F.col("set_id").alias(x), F.col("features").alias(f"f{x}")) for x in "ab")
     common = F.size(F.array_intersect("fa", "fb"))
