@@ -188,7 +188,7 @@ def test_lines_are_cut(spark):
 
 
 def test_chunks_depend_on_content_only():
-    line = "chia sẻ qua thư điện tử mã quét liên kết và đăng nhập để lưu văn bản"
+    line = "chia sẻ qua thư điện tử mã quét liên kết và đăng nhập để lưu văn bản vào tủ hồ sơ của người đọc trên mạng tra cứu cộng đồng này"
     a, b = p5.Scan(f"trước\n{line}\nsau"), p5.Scan(f"{line} \n khác hẳn")
     inside = lambda s, n: set(s.chunks()[0][s.chunks()[1] == n].tolist())
     assert inside(a, 1) == inside(b, 0) and len(inside(a, 1)) >= 2 and a.wording[1] == b.wording[0]

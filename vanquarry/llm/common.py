@@ -163,6 +163,8 @@ def cut(df: DataFrame) -> DataFrame:
     """Cuts the lineage by checkpoint() in the shared folder that the cluster names; a local folder is set only where none is named (tests)."""
     spark = df.sparkSession
     if not (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()):
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("a cluster must name a shared folder in spark.checkpoint.dir")
         import tempfile
 
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="vanquarry-"))
