@@ -4,7 +4,7 @@ from pathlib import Path
 import duckdb
 import pytest
 
-from vanquarry.plans import catalogue
+from vanquarry.plans import catalogue, more  # noqa: F401
 
 
 def norm(v):

@@ -195,6 +195,29 @@ def test_amendments(spark):
     assert len(r) == 1 and r[0]["answer"] == "Điều 1 của 9/2020/QH14" and len(set(r[0]["options"])) == 4 and r[0]["uid"] == "bench_2_4_o1_a1"
 
 
+def test_neighbours_match_brute_force(spark):
+    import random
+    import re
+
+    rng = random.Random(8)
+    rows = [(f"d{rng.randrange(3)}", f"a{i:03}", rng.choice(["1", "2", "3", "3a", "3b", "7", "x", "phụ lục", "12"])) for i in range(60)]
+    value = lambda n: (int(re.match(r"\d+", n)[0]), re.sub(r"\d", "", n)) if re.fullmatch(r"\d+[a-z]*", n) else None
+    want = set()
+    for d, u, n in rows:
+        v = value(n)
+        key = lambda r: (0, "", r[1]) if v is None else (abs(value(r[2])[0] - v[0]), value(r[2])[1], r[1]) if value(r[2]) else (10_000, r[2], r[1])  # noqa: E731, B023
+        for k, (_, o, m) in enumerate(sorted([r for r in rows if r[0] == d and r[1] != u], key=key)[:3], 1):
+            want.add((u, o, m, k))
+    a = spark.createDataFrame(rows, "doc_uid string, article_uid string, article_number string")
+    got = [tuple(r) for r in rel.neighbours(a, a, 3).collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_keyword_titles(spark):
+    k, t = spark.createDataFrame([("đất đai",), ("",)], "keyword string"), spark.createDataFrame([("Tranh chấp Đất đai",), ("đất",), ("x",)], "title string")
+    assert {tuple(r) for r in rel.keyword_titles(k, t, 0.5).collect()} == {("đất đai", "Tranh chấp Đất đai", 1.0), ("đất đai", "đất", 0.5)}
+
+
 def test_gap(spark):
     df = spark.createDataFrame([(1, i, i in (0, 1, 5)) for i in range(9)], "k int, i int, h boolean")
     assert sorted(r["i"] for r in rel.until_gap(df, "k", "i", "h", 3).collect()) == [0, 1, 2, 3, 4]

@@ -63,9 +63,10 @@ def choice_items(cases: DataFrame, completions: DataFrame, n: int, seed: int = 0
     """Cases with the options of the model's JSON (correct, distractors), in seeded order; unreadable or too few are left out."""
     v = F.from_json(text.json_object("completion"), "correct string, distractors array<string>")
     rows = rel.sample(cases.filter(text._text("section_content") != ""), "uid", n, seed).join(completions, "uid").withColumn("v", v)
-    rows = rows.filter((text.strip(text._text("v.correct")) != "") & (F.size("v.distractors") >= 3))
+    # the key has a name of its own: within a function over an array, "uid" would be taken for the new column of that name
+    rows = rows.filter((text.strip(text._text("v.correct")) != "") & (F.size("v.distractors") >= 3)).withColumn("_key", F.col("uid"))
     options = F.concat(F.slice("v.distractors", 1, 3), F.array(F.col("v.correct")))
-    return rows.select(F.concat(F.lit("bench_1_2_"), "uid").alias("uid"), F.col("uid").alias("refer_uid"), F.lit("case").alias("refer_type"), text.before_reasoning("section_content").alias("question"), rel.shuffled(options, F.col("uid")).alias("options"), F.col("v.correct").alias("answer"))
+    return rows.select(F.concat(F.lit("bench_1_2_"), "uid").alias("uid"), F.col("uid").alias("refer_uid"), F.lit("case").alias("refer_type"), text.before_reasoning("section_content").alias("question"), rel.shuffled(options, F.col("_key")).alias("options"), F.col("v.correct").alias("answer"))
 
 
 def definition_items(articles: DataFrame, docs: DataFrame, completions: DataFrame, n: int, seed: int = 0) -> DataFrame:

@@ -119,14 +119,32 @@ def first_article(refs: DataFrame, articles: DataFrame) -> DataFrame:
 def neighbours(articles: DataFrame, targets: DataFrame, n: int = 3) -> DataFrame:
     """For each target(article_uid) the n articles of its document that are nearest by number, then by suffix; unreadable numbers last.
 
-    Only articles of the targets' documents meet; a target with an unreadable number has its document's first articles by id.
+    Candidates of an article are the n next ones upward and downward by number, the first of its own number and the first with
+    unreadable numbers: frames of n rows and groups cut to n + 1 rows, never all pairs of a document. A target with an
+    unreadable number has its document's first articles by id.
     """
-    a = articles.select("doc_uid", "article_uid", "article_number", text.article_value("article_number").alias("v"))
-    t = a.join(targets.select("article_uid").distinct(), "article_uid", "left_semi").select("doc_uid", F.col("article_uid").alias("target"), F.col("v").alias("tv"))
-    d = F.when(F.col("tv").isNull(), 0).otherwise(F.coalesce(F.abs(F.col("v.number") - F.col("tv.number")), F.lit(10_000)))
-    suffix = F.when(F.col("tv").isNull(), "").otherwise(F.coalesce(F.col("v.suffix"), F.col("article_number")))
-    w = Window.partitionBy("target").orderBy(d, suffix, "article_uid")
-    return t.join(a, "doc_uid").filter("article_uid <> target").withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n).select("target", "article_uid", "article_number", "rank")
+    a = articles.select("doc_uid", "article_uid", "article_number", text.article_value("article_number").alias("v")).withColumns({"number": F.col("v.number"), "suffix": F.coalesce(F.col("v.suffix"), F.col("article_number"))}).drop("v")
+    x = F.struct("number", "suffix", "article_uid", "article_number")
+    readable = F.col("number").isNotNull()
+    group = Window.partitionBy("doc_uid", readable)
+    tie = ["suffix", "article_uid"]
+    near = lambda w: F.collect_list(x).over(w.rowsBetween(1, n))
+    rows = a.withColumn("up", near(group.orderBy("number", *tie))).withColumn("down", near(group.orderBy(F.desc("number"), *tie)))
+
+    def first(keys: list[str], order: list[str], name: str) -> DataFrame:
+        cut = a.withColumn("_r", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter(F.col("_r") <= n + 1)
+        return cut.groupBy(*keys).agg(F.collect_list(x).alias(name))
+
+    same = first(["doc_uid", "number"], tie, "same").filter(readable)
+    odd = first(["doc_uid", "number"], tie, "odd").filter(~readable).drop("number")
+    head = first(["doc_uid"], ["article_uid"], "head")
+    rows = rows.join(targets.select("article_uid").distinct(), "article_uid", "left_semi").join(same, ["doc_uid", "number"], "left").join(odd, "doc_uid", "left").join(head, "doc_uid", "left")
+    none = F.array().cast("array<struct<number:bigint,suffix:string,article_uid:string,article_number:string>>")
+    some = F.when(readable, F.array_distinct(F.concat(F.col("up"), F.col("down"), F.coalesce("same", none), F.coalesce("odd", none)))).otherwise(F.col("head"))
+    far = lambda c: F.when(~readable, 0).otherwise(F.coalesce(F.abs(c["number"] - F.col("number")), F.lit(10_000)))
+    keyed = F.transform(F.filter(some, lambda c: c["article_uid"] != F.col("article_uid")), lambda c: F.struct(far(c).alias("d"), F.when(readable, c["suffix"]).otherwise("").alias("s"), c["article_uid"].alias("article_uid"), c["article_number"].alias("article_number")))
+    picked = rows.select(F.col("article_uid").alias("target"), F.posexplode(F.slice(F.array_sort(keyed), 1, n)).alias("pos", "c"))
+    return picked.select("target", "c.article_uid", "c.article_number", (F.col("pos") + 1).cast("int").alias("rank"))
 
 
 def complete(refs: DataFrame, found: DataFrame, case: str = "case_uid") -> DataFrame:
@@ -143,11 +161,19 @@ def keyword_overlap(keyword: Column, title: Column) -> Column:
     return F.when(F.size(k) == 0, 1.0).otherwise(F.size(F.array_intersect(k, words(title))) / F.size(k))
 
 
+def keyword_titles(keywords: DataFrame, titles: DataFrame, least: float = 0.7) -> DataFrame:
+    """S25 for many of both: (keyword, title, share) of keywords(keyword) and titles(title) with at least that overlap, by a join on single words; empty keywords, which fit any title, are left out."""
+    words = lambda c: F.array_distinct(F.filter(F.split(F.lower(text.spaces(c)), " "), lambda x: x != ""))
+    k = keywords.select("keyword").distinct().withColumn("w", words("keyword")).select("keyword", F.size("w").alias("n"), F.explode("w").alias("word"))
+    t = titles.select("title").distinct().select("title", F.explode(words("title")).alias("word"))
+    return k.join(t, "word").groupBy("keyword", "title").agg((F.count("*") / F.max("n")).alias("share")).filter(F.col("share") >= least)
+
+
 def crawl_quota(topics: DataFrame, target: int) -> DataFrame:
     """topics(topic, keyword) with the pages' quota of each keyword; one more topic is free discovery; remainders are left."""
-    n = topics.select("topic").distinct().crossJoin(F.broadcast(topics.select(F.lit(1)).limit(1))).agg((F.count("*") + 1).alias("n"))
+    share = target // (topics.select("topic").distinct().count() + 1)
     of = topics.groupBy("topic").agg(F.count("*").alias("k"))
-    return topics.join(of, "topic").join(F.broadcast(n)).select("topic", "keyword", F.floor(F.floor(F.lit(target) / F.col("n")) / F.col("k")).alias("quota"))
+    return topics.join(of, "topic").select("topic", "keyword", F.floor(F.lit(share) / F.col("k")).alias("quota"))
 
 
 def until_gap(pages: DataFrame, key: str, order: str, hit: str, gap: int = 10) -> DataFrame:

@@ -333,10 +333,8 @@ def candidate_decision(spark, sf):
     SELECT keyword, title, len(list_intersect(a, b)) / len(a) AS share FROM w WHERE len(list_intersect(a, b)) / len(a) >= 0.3"""
 )
 def keyword_title_overlap(spark, sf):
-    """Crawl topics against titles; topics are a configuration of a few lines, so they are sent to the titles."""
     p = read(spark, sf, "part")
-    rows = p.select(F.col("p_name").alias("title")).distinct().join(F.broadcast(p.select(F.col("p_type").alias("keyword")).distinct()))
-    return rows.select("keyword", "title", rel.keyword_overlap(F.col("keyword"), F.col("title")).alias("share")).filter("share >= 0.3")
+    return rel.keyword_titles(p.select(F.col("p_type").alias("keyword")), p.select(F.col("p_name").alias("title")), 0.3)
 
 
 @query(
