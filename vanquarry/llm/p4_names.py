@@ -185,27 +185,20 @@ def look_up(tries: dict[str, Trie], kind: str, name: str) -> list[tuple[int, int
     marked = key(" ".join(re.findall(r"[^\W_]+", name.lower())))
     for permuted, keys in enumerate(orders(kind, name)):
         best: dict[int, int] = {}
+        names: dict[int, str] = {}
         for k in keys:
             if not k:
                 continue
-            for d, (entity, most, form, _) in tries[kind].near(k, min(bound(len(k)), 1 if permuted else 2)):
+            for d, (entity, most, form, full) in tries[kind].near(k, min(bound(len(k)), 1 if permuted else 2)):
                 if d <= most and _DIGITS.findall(k) == _DIGITS.findall(form):
                     best[entity] = min(d, best.get(entity, 9))
+                    names[entity] = full
         if best:
             least = min(best.values())
-            names = {e[0]: e[3] for e in _entries(tries[kind]) if e[0] in best} if sum(d == least for d in best.values()) > 1 else {}
-            return [(e, least + 10 * permuted, distance(marked, names[e]) if names else 0) for e, d in best.items() if d == least]
+            return [(e, least + 10 * permuted, distance(marked, names[e])) for e, d in best.items() if d == least]
     return []
 
 
-def _entries(trie: Trie) -> Iterator[tuple]:
-    stack = [trie.root]
-    while stack:
-        node = stack.pop()
-        yield from node.get("", ())
-        stack += [x for c, x in node.items() if c]
-
-
 def links(names: DataFrame, registry: DataFrame, block: int = BLOCK) -> DataFrame:
     """(kind, name, entity_id) of the distinct names(kind, name) that mean a registered entity."""
     names = names.filter("trim(name) <> ''").select("kind", "name").distinct()
