@@ -36,7 +36,7 @@ def test_consistent_long_and_short_agree():
 
 def test_variants(spark):
     rows = [("f", "1", "Đіều một"), ("f", "1", "Đіều một"), ("f", "2", "Điều một"), ("f", "3", None), ("f", "4", ""), ("f", "5", unicodedata.normalize("NFD", "Điều")), ("f", "6", "Жук và μ"), ("f", "7", "hai ba")]
-    df = spark.createDataFrame(rows, FIELD).withColumn("word", F.lit("clash")).withColumn("canonical", F.lit(1))
+    df = spark.createDataFrame(rows, FIELD).withColumn("word", F.lit("clash")).withColumn("canonical", F.lit(1)).withColumn("words", F.lit(2))
     assert {tuple(r) for r in p1.variants(df).collect()} == {("f", "1", "Đіều", "Điều"), ("f", "5", unicodedata.normalize("NFD", "Điều"), "Điều"), ("f", "7", "hai ba", "hai ba")}
     got = {r["item_id"]: (r["value"], r["n_words"]) for r in p1.apply_form(df).collect()}
     assert got == {"1": ("Điều một", 1), "2": ("Điều một", 0), "3": (None, 0), "4": ("", 0), "5": ("Điều", 1), "6": ("Жук và μ", 0), "7": ("hai ba", 1)}
@@ -185,7 +185,7 @@ def test_repeated_lines_match_brute_force(spark):
 
 def test_lines_are_cut(spark):
     rows = [("legal_docs", str(i), "a.vn", f"văn bản số {i} riêng\nchia sẻ trang này {i}") for i in range(6)]
-    got = p5.cleaned(spark.createDataFrame(rows, TEXT)).collect()
+    got = p5.cleaned(spark.createDataFrame(rows, TEXT).withColumn("nos", F.lit(1)).withColumn("line_no", F.lit("clash"))).collect()
     assert {r["uid"]: (r["raw_text"], r["lines_removed"]) for r in got} == {str(i): ("", 2) for i in range(6)}
 
 

@@ -77,7 +77,7 @@ def _replace(value: pd.Series, words: pd.Series) -> pd.Series:
 def apply_form(df: DataFrame) -> DataFrame:
     """(field_name, item_id, value, n_words): every value in consistent form, once per item, with the number of distinct words replaced."""
     found = variants(df).groupBy("field_name", "item_id").agg(F.collect_list(F.struct("word", "canonical")).alias("words"))
-    once = df.dropDuplicates(["field_name", "item_id"])
+    once = df.groupBy("field_name", "item_id").agg(F.min("value").alias("value"))
     return once.join(found, ["field_name", "item_id"], "left").select(
         "field_name", "item_id", F.when(F.col("words").isNull(), F.col("value")).otherwise(_replace("value", "words")).alias("value"), F.coalesce(F.size("words"), F.lit(0)).alias("n_words")
     )

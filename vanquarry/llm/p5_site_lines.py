@@ -155,7 +155,7 @@ def candidates(rows: DataFrame, hot: DataFrame, broadcast_limit: int) -> DataFra
 
 def repeated(rows: DataFrame, least_docs: int = LEAST_DOCS, least_share: float = LEAST_SHARE, most_hosts: int = MOST_HOSTS, broadcast_limit: int = 200_000) -> DataFrame:
     """(table_name, host, uid, line_no, wording): the repeated lines of rows(table_name, uid, host, raw_text); wording is a hash."""
-    rows = rows.filter("uid is not null and host <> '' and raw_text is not null")
+    rows = rows.filter("uid is not null and host <> '' and raw_text is not null").select("table_name", "uid", "host", "raw_text")
     least = cut(marks(rows, least_docs, least_share))  # used three times
     hot = chunk_counts(rows).join(least, ["table_name", "host"]).filter("n >= least").select("table_name", "host", "chunk")
     some = cut(candidates(rows, hot, broadcast_limit).distinct())  # used twice
@@ -177,7 +177,7 @@ def cleaned(rows: DataFrame, **marks_) -> DataFrame:
         return pd.Series([t if t is None or n is None else without_lines(t, {int(x) for x in n}) for t, n in zip(text, nos)])
 
     found = repeated(rows, **marks_).groupBy("table_name", "uid").agg(F.collect_set("line_no").alias("nos"))
-    once = rows.dropDuplicates(["table_name", "uid"])
+    once = rows.groupBy("table_name", "uid").agg(F.min("raw_text").alias("raw_text"))
     return once.join(found, ["table_name", "uid"], "left").select("table_name", "uid", remove("raw_text", "nos").alias("raw_text"), F.coalesce(F.size("nos"), F.lit(0)).alias("lines_removed"))
 
 
