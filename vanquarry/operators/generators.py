@@ -46,11 +46,11 @@ def with_docs(articles: DataFrame, docs: DataFrame) -> DataFrame:
     return articles.join(docs.select(F.col("uid").alias("doc_uid"), *[F.col(c).alias(f"d_{c}") for c in docs.columns if c != "uid"]), "doc_uid")
 
 
-def strata(articles: DataFrame, docs: DataFrame) -> DataFrame:
+def strata(articles: DataFrame, docs: DataFrame, least: int = 8, margin: int = 2) -> DataFrame:
     """Core articles with their documents and the stratum that they are drawn from."""
     special = (F.col("doc_uid") == SPECIAL) | (F.col("d_doc_id") == SPECIAL)
     kind = F.when(special, "special").when(F.col("d_doc_type").isin("Luật", "Nghị định"), F.col("d_doc_type"))
-    return with_docs(rel.core_articles(articles), docs).withColumn("stratum", kind).filter("stratum is not null")
+    return with_docs(rel.core_articles(articles, least, margin), docs).withColumn("stratum", kind).filter("stratum is not null")
 
 
 def issue_items(cases: DataFrame, completions: DataFrame, n: int, seed: int = 0) -> DataFrame:
@@ -69,10 +69,10 @@ def choice_items(cases: DataFrame, completions: DataFrame, n: int, seed: int = 0
     return rows.select(F.concat(F.lit("bench_1_2_"), "uid").alias("uid"), F.col("uid").alias("refer_uid"), F.lit("case").alias("refer_type"), text.before_reasoning("section_content").alias("question"), rel.shuffled(options, F.col("_key")).alias("options"), F.col("v.correct").alias("answer"))
 
 
-def definition_items(articles: DataFrame, docs: DataFrame, completions: DataFrame, n: int, seed: int = 0) -> DataFrame:
+def definition_items(articles: DataFrame, docs: DataFrame, completions: DataFrame, n: int, seed: int = 0, **core: int) -> DataFrame:
     """The first articles, in seeded order and by the quota of each stratum, in which the model (completions: article_uid, completion) found a definition. With completions given, filling up to the quota is a filter and a rank."""
     v = F.from_json(text.json_object("completion"), "co string, ten_khai_niem string, giai_thich string")
-    rows = strata(articles, docs).join(completions, "article_uid").withColumn("v", v).withColumns({"concept": text.strip(text._text("v.ten_khai_niem")), "answer": text.strip(text._text("v.giai_thich"))})
+    rows = strata(articles, docs, **core).join(completions, "article_uid").withColumn("v", v).withColumns({"concept": text.strip(text._text("v.ten_khai_niem")), "answer": text.strip(text._text("v.giai_thich"))})
     rows = rel.stratified(rows.filter("v.co = 'co' and concept <> '' and answer <> ''"), "stratum", "article_uid", rel.quotas(n), seed)
     name = F.coalesce(F.nullif(F.col("d_title"), F.lit("")), "d_doc_id")
     question = F.format_string("Trong %s (ban hành năm %s), khái niệm '%s' được định nghĩa như thế nào?", name, year_of("d_issue_date"), "concept")
@@ -87,11 +87,11 @@ def recall_items(articles: DataFrame, docs: DataFrame, n: int | None, seed: int
     return rows.select(F.concat(F.lit("bench_2_2_"), "article_uid").alias("uid"), F.col("article_uid").alias("refer_uid"), F.lit("article").alias("refer_type"), question.alias("question"), text.legal_plain("content").alias("answer")).filter("answer <> ''")
 
 
-def metadata_items(articles: DataFrame, docs: DataFrame, n: int, seed: int = 0) -> DataFrame:
+def metadata_items(articles: DataFrame, docs: DataFrame, n: int, seed: int = 0, **core: int) -> DataFrame:
     """Half the items ask for the source of an excerpt (number or article, by a seeded coin), the rest for a document's date or signer."""
     half = n // 2
     dated = (n - half) // 2
-    core = rel.sample(strata(articles, docs).withColumn("excerpt", text.excerpt("content")).filter("excerpt <> '' and d_doc_id is not null"), "article_uid", half, seed)
+    core = rel.sample(strata(articles, docs, **core).withColumn("excerpt", text.excerpt("content")).filter("excerpt <> '' and d_doc_id is not null"), "article_uid", half, seed)
     coin = F.substring(rel.seeded(F.col("article_uid"), f"coin{seed}"), 1, 1) < "8"
     item = lambda kind, key, q, a: [F.concat(F.lit("bench_2_3_"), kind, F.lit("_"), key).alias("uid"), F.col(key).alias("refer_uid"), q.alias("question"), a.alias("answer")]
     quote = F.format_string('Đoạn trích dưới đây thuộc văn bản nào?\n\n"%s"', "excerpt")

@@ -323,11 +323,6 @@ def candidate_rank(spark, sf):
     return rel.search(typed_docs(spark, sf), _searches(spark, sf)).withColumn("line", rel.candidate_line())
 
 
-@query()
-def candidate_decision(spark, sf):
-    return rel.decide(rel.search(typed_docs(spark, sf), _searches(spark, sf)))
-
-
 @query(
     f"""WITH k AS (SELECT DISTINCT p_type AS keyword FROM part), t AS (SELECT DISTINCT p_name AS title FROM part), w AS (SELECT keyword, title, list_distinct(list_filter(string_split({SPACES('lower(keyword)')}, ' '), lambda x: x <> '')) a, list_distinct(string_split({SPACES('lower(title)')}, ' ')) b FROM k, t)
     SELECT keyword, title, len(list_intersect(a, b)) / len(a) AS share FROM w WHERE len(list_intersect(a, b)) / len(a) >= 0.3"""
@@ -368,7 +363,7 @@ def article_recall_items(spark, sf):
 
 @query()
 def metadata_recall_items(spark, sf):
-    return generators.metadata_items(articles(spark, sf), typed_docs(spark, sf), 100)
+    return generators.metadata_items(articles(spark, sf), typed_docs(spark, sf), 100, least=4, margin=1)
 
 
 @query()

@@ -196,7 +196,7 @@ def definition_items(spark, sf):
     """G3, with a made-up definition in every other article."""
     a = articles(spark, sf)
     said = a.select("article_uid", F.when(F.char_length("article_uid") % 2 == 0, F.concat(F.lit('{"co": "co", "ten_khai_niem": "Khái niệm '), "article_number", F.lit('", "giai_thich": "là một điều"}'))).otherwise('{"co": "khong"}').alias("completion"))
-    return generators.definition_items(a, typed_docs(spark, sf), said.distinct(), 100)
+    return generators.definition_items(a, typed_docs(spark, sf), said.distinct(), 100, least=4, margin=1)
 
 
 @query(
@@ -252,10 +252,10 @@ def judged_items(spark, sf):
     return s.select("uid", "refer_uid", F.col("model_answer").alias("answer"), "is_correct", "judge_score", F.col("judge_result.is_acceptable").alias("is_acceptable"))
 
 
-@query("SELECT uid, task_id FROM bench_items WHERE length(uid) % 2 = 1")
+@query("SELECT uid, task_id FROM bench_items WHERE right(uid, 1) IN ('1', '3', '5', '7', '9')")
 def not_yet_scored(spark, sf):
     b = read(spark, sf, "bench_items").select("uid", "task_id", F.lit("m").alias("model"))
-    return scoring.not_scored(b, b.filter(F.char_length("uid") % 2 == 0)).select("uid", "task_id")
+    return scoring.not_scored(b, b.filter(~F.right("uid", F.lit(1)).isin(*"13579"))).select("uid", "task_id")
 
 
 @query("WITH t AS (SELECT DISTINCT p_brand AS topic, p_type AS keyword FROM part), n AS (SELECT count(DISTINCT topic) + 1 AS n FROM t), k AS (SELECT topic, count(*) AS k FROM t GROUP BY 1) SELECT topic, keyword, (300 // n) // k AS quota FROM t JOIN k USING (topic), n")
