@@ -40,7 +40,7 @@ def case_title(c: Column) -> Column:
 
 
 def case_court(c: Column) -> Column:
-    """Always null, as the reference pattern can't match a real name; the court comes from the web record."""
+    """Always null, as no pattern for it matches real texts; the court comes from the web record."""
     return F.lit(None).cast("string")
 
 
