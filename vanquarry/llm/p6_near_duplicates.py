@@ -4,7 +4,7 @@ Method: PartEnum. The features of a text are its sequences of five words. Sets a
 each; a set takes part in its own band and the next, so that two sets that can be similar meet in one). For a band the
 domain of features is partitioned by hashing, several times over; the part of a set that lies in one partition, if it has
 at least LEAST features, is a signature. Of the partitions SLOTS are enumerated. Pairs that share SHARED
-signatures are candidates; two sets of Jaccard similarity 0.5 do except with probability 6e-5, of similarity 0.6 except with 5e-10 (see `slots`). Copies (equal sets) are one
+signatures are candidates; two sets of Jaccard similarity 0.5 do except with probability 2e-6 at most, wherever their sizes lie in the bands (see `slots`). Copies (equal sets) are one
 class from the start, so pairs are formed between classes only. A signature shared by more than HOT classes isn't paired
 as such: its members are keyed by it and each other signature of theirs, once more. Every candidate pair is then checked
 exactly on sets made anew from the texts.
@@ -26,7 +26,9 @@ from . import p5_site_lines as p5
 from .common import cut, h64, mix, polynomial, small_rows, table
 
 N_WORDS, THRESHOLD = 5, 0.5
-SLOTS, PER_PART, LEAST, SHARED, HOT, ALL_PAIRS = 288, 2.7, 3, 2, 200, 64
+SLOTS, PER_PART, LEAST, SHARED, HOT, ALL_PAIRS = 470, 2.5, 3, 2, 200, 64
+#: Bits of a signature that are shuffled: equal ones of different parts only make candidates, which are checked.
+_BITS = np.uint64((1 << 48) - 1)
 _STEP = [np.uint64(pow(0xD6E8FEB86659FD93, j, 1 << 64)) for j in range(N_WORDS)]
 
 
@@ -65,14 +67,15 @@ def features(x: np.ndarray) -> np.ndarray:
 def slots(s: np.ndarray, band: int, n_slots: int = SLOTS) -> np.ndarray:
     """Signatures of the set s in a band (sizes of 2**band up to 2**(band+1)).
 
-    Partitions hold PER_PART features of a set of the band's lower size on average. With Jaccard similarity J and equal
-    sizes, a partition has Poisson(c) common and Poisson(d) other features, c = PER_PART * 2J/(1+J), d = PER_PART * 2(1-J)/(1+J);
-    it gives a shared signature with probability exp(-d) * P(Poisson(c) >= LEAST), 0.043 at J = 0.5 and 0.086 at J = 0.6. Of
-    SLOTS partitions that gives 12.4 and 24.7 shared signatures on average, near enough to Poisson: fewer than two with 6e-5 and 5e-10.
+    Partitions hold PER_PART features of a set of the band's lower size on average. Of two sets a partition has Poisson(c)
+    common and Poisson(d) other features; it gives a shared signature with probability exp(-d) * P(Poisson(c) >= LEAST). The
+    fewest are shared by sets in neighbouring bands of which one is contained in the other, twice its size: they meet in the
+    upper band only, with c = d = PER_PART / 2 to PER_PART, so that a partition gives one with probability 0.037 at least (the
+    PER_PART of 2.5 makes both ends equal). Of SLOTS partitions that gives 17.6 shared signatures on average, near enough to
+    Poisson: fewer than two with 4.2e-7; for sets of 16 to 250 features it is 16 on average: 2e-6. Sets of one band share some 30 (fewer than two with 1e-12).
     """
     n_parts = max(1, round(2**band / PER_PART))
-    value = mix(s)
-    low, high = (value & np.uint64(0xFFFFFFFF)).astype(np.float64), (value >> np.uint64(32)).astype(np.float64)
+    value = (mix(s) >> np.uint64(13)).astype(np.float64)
     out = []
     for r in range(-(-n_slots // n_parts)):
         # the features are hashes already: a multiplication with an odd number of the round's own spreads them anew
@@ -85,9 +88,9 @@ def slots(s: np.ndarray, band: int, n_slots: int = SLOTS) -> np.ndarray:
             part = part[use]
         n = np.bincount(part, minlength=most)
         full = np.flatnonzero(n >= LEAST)
-        # sums of halves stay below 2**53, hence exact
-        a, b = (np.bincount(part, x[use], most)[full].astype(np.uint64) for x in (low, high))
-        out.append(mix(mix(a) + b + full.astype(np.uint64) * np.uint64(0xA24BAED4963EE407) + np.uint64(band * 1000003 + r)))
+        # sums of 51 bits may round, but alike for the same features, which are in order
+        a = np.bincount(part, value[use], most)[full].astype(np.uint64)
+        out.append(mix(mix(a) + full.astype(np.uint64) * np.uint64(0xA24BAED4963EE407) + np.uint64(band * 1000003 + r)))
     return np.concatenate(out)
 
 
@@ -130,7 +133,7 @@ def pairs(rows: DataFrame, threshold: float = THRESHOLD, broadcast_limit: int =
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            out = [(t, u, set_id(s) ^ h64(t), len(s), (signatures(s) ^ np.uint64(h64(t) & (1 << 64) - 1)).view(np.int64)) for t, u, s in zip(b["table_name"], b["uid"], _sets(b, sent.value)) if len(s)]
+            out = [(t, u, set_id(s) ^ h64(t), len(s), ((signatures(s) ^ np.uint64(h64(t) & (1 << 64) - 1)) & _BITS).view(np.int64)) for t, u, s in zip(b["table_name"], b["uid"], _sets(b, sent.value)) if len(s)]
             yield pd.DataFrame(out, columns=["table_name", "uid", "set_id", "n", "signatures"])
 
     def again(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
