@@ -18,3 +18,15 @@ def test_contained_sets_in_neighbouring_bands_meet(n):
         shared.append(len(np.intersect1d(p6.signatures(np.sort(b[:n])), p6.signatures(np.sort(b)))))
     m = np.mean(shared)
     assert np.exp(-m) * (1 + m) < 2e-6
+
+
+def test_large_classes_give_all_pairs(spark, monkeypatch):
+    base = [f"từ{'bcdghk'[i % 6]}{chr(97 + i % 25)}{chr(97 + i // 6)}" for i in range(60)]
+    texts = [(" , " if i % 2 else " ").join(base) + "." * i for i in range(70)] + [" ".join([*base[:55], "khác"]), " ".join(base)]
+    rows = [("legal_docs", f"u{i:02}", "", t) for i, t in enumerate(texts)]
+    want = {("legal_docs", a[1], b[1]) for a in rows for b in rows if a[1] < b[1]}
+    df = spark.createDataFrame(rows, TEXT)
+    for block in (1000, 9):
+        monkeypatch.setattr(p6, "BLOCK", block, raising=False)
+        got = [tuple(r) for r in p6.found(df).collect()]
+        assert len(got) == len(set(got)) and set(got) == want

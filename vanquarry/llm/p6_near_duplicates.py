@@ -26,7 +26,9 @@ from . import p5_site_lines as p5
 from .common import cut, h64, mix, polynomial, small_rows, table
 
 N_WORDS, THRESHOLD = 5, 0.5
-SLOTS, PER_PART, LEAST, SHARED, HOT, ALL_PAIRS = 470, 2.5, 3, 2, 200, 64
+SLOTS, PER_PART, LEAST, SHARED, HOT, BLOCK = 470, 2.5, 3, 2, 200, 1000
+#: If set, a class of more members is returned as a star; None: every pair is returned.
+ALL_PAIRS: int | None = None
 #: Bits of a signature that are shuffled: equal ones of different parts only make candidates, which are checked.
 _BITS = np.uint64((1 << 48) - 1)
 _STEP = [np.uint64(pow(0xD6E8FEB86659FD93, j, 1 << 64)) for j in range(N_WORDS)]
@@ -174,19 +176,27 @@ def _pair(df: DataFrame, keys: list[str], threshold: float) -> DataFrame:
 
 
 def found(rows: DataFrame) -> DataFrame:
-    """(table_name, uid_a, uid_b): all pairs of uids at or above the threshold; of a class of more than ALL_PAIRS copies, each copy is paired with the least uid instead of with every other copy, and with other classes only through it."""
+    """(table_name, uid_a, uid_b): all pairs of uids at or above the threshold, formed in blocks of some BLOCK members so that a large class is spread; if ALL_PAIRS is set, of a class of more members each is paired with the least uid only, and with other classes only through it."""
     members, links = pairs(rows)
     size = members.groupBy("table_name", "set_id").agg(F.count("*").alias("size"), F.min("uid").alias("least"))
-    several = size.filter("size > 1")
-    inner = members.join(several, ["table_name", "set_id"])
-    stars = inner.filter((F.col("size") > ALL_PAIRS) & (F.col("uid") > F.col("least"))).select("table_name", F.col("least").alias("uid_a"), F.col("uid").alias("uid_b"))
-    small = inner.filter(F.col("size") <= ALL_PAIRS)
-    x, y = (small.select("table_name", "set_id", F.col("uid").alias(f"uid_{c}")) for c in "ab")
-    copies = x.join(y, ["table_name", "set_id"]).filter("uid_a < uid_b").select("table_name", "uid_a", "uid_b")
-    shown = members.join(size, ["table_name", "set_id"]).filter((F.col("size") <= ALL_PAIRS) | (F.col("uid") == F.col("least")))
-    p, q = (shown.select("table_name", F.col("set_id").alias(c), F.col("uid").alias(f"u{c}")) for c in "ab")
-    across = links.join(p, ["table_name", "a"]).join(q, ["table_name", "b"]).select("table_name", F.least("ua", "ub").alias("uid_a"), F.greatest("ua", "ub").alias("uid_b"))
-    return copies.unionByName(stars).unionByName(across)
+    if ALL_PAIRS is not None:
+        inner = members.join(size.filter(F.col("size") > ALL_PAIRS), ["table_name", "set_id"])
+        stars = inner.filter("uid > least").select("table_name", F.col("least").alias("uid_a"), F.col("uid").alias("uid_b"))
+        members = members.join(size, ["table_name", "set_id"]).filter((F.col("size") <= ALL_PAIRS) | (F.col("uid") == F.col("least"))).select("table_name", "set_id", "uid")
+        size = size.withColumn("size", F.when(F.col("size") <= ALL_PAIRS, F.col("size")).otherwise(1))
+    blocks = size.select("table_name", "set_id", "size", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
+    placed = members.join(blocks, ["table_name", "set_id"]).withColumn("block", F.pmod(F.xxhash64("uid"), F.col("blocks")).cast("int"))
+    x, y = (placed.filter("size > 1").select("table_name", "set_id", F.col("uid").alias(f"uid_{c}"), "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")) for c in "ab")
+    y = y.select("table_name", "set_id", "uid_b", F.col("block").alias("other"), F.col("other").alias("block"))
+    copies = x.join(y, ["table_name", "set_id", "block", "other"]).filter("uid_a < uid_b").select("table_name", "uid_a", "uid_b")
+    across = links.select("table_name", "a", "b")
+    for c in "ab":
+        n = blocks.select("table_name", F.col("set_id").alias(c), F.col("blocks").alias("n"))
+        across = across.join(n, ["table_name", c]).withColumn(f"block_{c}", F.explode(F.sequence(F.lit(0), F.col("n") - 1))).drop("n")
+    for c in "ab":
+        across = across.join(placed.select("table_name", F.col("set_id").alias(c), F.col("block").alias(f"block_{c}"), F.col("uid").alias(f"u{c}")), ["table_name", c, f"block_{c}"])
+    out = copies.unionByName(across.select("table_name", F.least("ua", "ub").alias("uid_a"), F.greatest("ua", "ub").alias("uid_b")))
+    return out if ALL_PAIRS is None else out.unionByName(stars)
 
 
 def p6_found(spark: SparkSession, sf: str) -> DataFrame:
