@@ -3,11 +3,25 @@
 import numpy as np
 import pytest
 
+from vanquarry.llm import p2_scans as p2
+from vanquarry.llm import p5_site_lines as p5
 from vanquarry.llm import p6_near_duplicates as p6
 
 TEXT = "table_name string, uid string, host string, raw_text string"
 
 
+# --- P2 ---
+def test_words_broken_across_page_furniture():
+    reader = p2.Reader(p2.Lexicon({w: 100 for w in "người lao động được hưởng theo quy định khác hành".split()}))
+    n, line = "12/2020/QĐ-UBND", "XEM BÌNH LUẬN (182)"
+    skip = np.array([p5.wording(line)])
+    assert "broken_word" in reader.noise("người kh-\nTrang 5\nác được hưởng", None, n)
+    assert "broken_word" in reader.noise(f"người kh-\n- 9 -\n{line}\nác được hưởng", None, n, skip)
+    assert "broken_word" in reader.noise(f"người kh¬\nQuyết định {n}   9\nác được hưởng", None, n)
+    assert reader.noise("người theo-\nTrang 5\nquy định", None, n) == ["page_furniture"]
+    assert reader.lexicon.decode("địnl-\ni")[0] == "định"
+
+
 # --- P6 ---
 @pytest.mark.parametrize("n", [250, 511, 1020])
 def test_contained_sets_in_neighbouring_bands_meet(n):

@@ -25,7 +25,8 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Memo, consistent, read, small_rows
+from . import p5_site_lines as p5
+from .common import Memo, consistent, host, read, small_rows
 
 # Parts of Vietnamese syllables.
 ONSETS = "b c ch d đ g gh gi h k kh l m n ng ngh nh p ph qu r s t th tr v x".split()
@@ -41,6 +42,9 @@ COST_CONFUSION, COST_HYPHEN, COST_MERGE, COST_SPLIT, COST_UNKNOWN, COST_LITERAL_
 _TONE = {"̀", "́", "̉", "̃", "̣"}
 _SYLLABLE = re.compile("(" + "|".join(sorted(ONSETS, key=len, reverse=True)) + ")?(.+)")
 _BREAK = regex.compile(r"(?<=\p{L})[-¬‐][ \t\r]*\n[ \t\r]*(?=\p{L})")
+_MARK_END = regex.compile(r"\p{L}[-¬‐][ \t\r]*\n")
+_HEAD = re.compile(r"(?:[^\W\d_]+\s+){0,4}([\dOIl]+/[\dOIl]{4}/[^\s;,.()]+)\s+\d{1,4}")
+_MARKS = {"-", "¬", "‐"}
 _ODD = re.compile(r"[1!90@€+(|'’65$]|ii|rn|li|cl|vv")
 _EDGE = "\"“”.,;:?)[]…«»<>–—-"
 _NUMBER = re.compile(r"(?<![^\W\d_])\d+[OolI](?=[\d.,/;:)\s]|$)|(?<=\d[./,])[OolI]+\d")
@@ -107,6 +111,9 @@ class Lexicon:
                 if meant in node and s[j : j + len(seen)].lower() == seen:
                     m = meant.upper() if s[j].isupper() else meant
                     stack.append((j + len(seen), node[meant], word + m, cost + COST_CONFUSION, ops + ("confusion",)))
+                elif len(seen) == 2 and meant in node and c == seen[0] and s[j + 1 : j + 2] in _MARKS and (b := _BREAK.match(s, j + 1)) and s[b.end()].lower() == seen[1]:
+                    m = meant.upper() if s[j].isupper() else meant
+                    stack.append((b.end() + 1, node[meant], word + m, cost + COST_CONFUSION + COST_HYPHEN, ops + ("confusion", "hyphen")))
             if word:
                 b = _BREAK.match(s, j)
                 if b:
@@ -228,14 +235,30 @@ class Reader:
                         out.add(i)
         return out
 
-    def noise(self, text: str, title: str | None, number: str | None) -> list[str]:
+    def between(self, t: str, lines: list[str], number: str | None, skip: np.ndarray | None) -> set[int]:
+        """Indices of further lines that may stand between the halves of a broken word: those of the site, whose wordings are in skip, and the document's number with a page."""
+        own = (number or "").replace("O", "0").rstrip(").").lower()
+        out = {i for i, x in enumerate(lines) if own and len(x) < 60 and (m := _HEAD.fullmatch(x)) and m.group(1).replace("O", "0").lower() == own}
+        if skip is not None and len(skip):
+            scan = p5.Scan(t)
+            out.update(np.flatnonzero(np.isin(scan.wording, skip) & (scan.upto > scan.first)).tolist())
+        return out
+
+    def noise(self, text: str, title: str | None, number: str | None, skip: np.ndarray | None = None) -> list[str]:
         t = consistent(text)
         out = []
-        if next(self.broken(t), None):
+        lines = [x.strip() for x in t.split("\n")]
+        furniture = self.furniture(lines, title, number)
+        broken = next(self.broken(t), None)
+        if not broken and _MARK_END.search(t):
+            # a word broken at a page's end goes on after the furniture
+            away = furniture | self.between(t, lines, number, skip)
+            broken = away and next(self.broken("\n".join(x for i, x in enumerate(lines) if i not in away)), None)
+        if broken:
             out.append("broken_word")
         if self.wrong(t):
             out.append("wrong_char")
-        if self.furniture([x.strip() for x in t.split("\n")], title, number):
+        if furniture:
             out.append("page_furniture")
         return out
 
@@ -320,9 +343,9 @@ def paragraphs(lines: list[str]) -> str:
 
 
 def texts(spark: SparkSession, sf: str) -> DataFrame:
-    """(table_name, uid, title, number, raw_text) of both tables."""
-    docs = read(spark, sf, "legal_docs").select(F.lit("legal_docs").alias("table_name"), "uid", "title", F.col("doc_id").alias("number"), "raw_text")
-    cases = read(spark, sf, "court_cases").select(F.lit("court_cases").alias("table_name"), "uid", F.lit(None).cast("string").alias("title"), F.col("case_number").alias("number"), "raw_text")
+    """(table_name, uid, title, number, host, raw_text) of both tables."""
+    docs = read(spark, sf, "legal_docs").select(F.lit("legal_docs").alias("table_name"), "uid", "title", F.col("doc_id").alias("number"), host().alias("host"), "raw_text")
+    cases = read(spark, sf, "court_cases").select(F.lit("court_cases").alias("table_name"), "uid", F.lit(None).cast("string").alias("title"), F.col("case_number").alias("number"), host().alias("host"), "raw_text")
     return docs.unionByName(cases)
 
 
@@ -354,15 +377,26 @@ def _number(number: str | None, title: str | None, text: str) -> str | None:
     return consistent(number) if number else (m.group() if (m := _DOC_NUMBER.search(consistent(text[:3000]))) else None)
 
 
-def noise(rows: DataFrame) -> DataFrame:
-    """(table_name, uid, noise_kind) of rows(table_name, uid, title, number, raw_text)."""
-    rows = rows.filter("uid is not null and raw_text is not null").select("table_name", "uid", "title", "number", "raw_text")
+def noise(rows: DataFrame, broadcast_limit: int = 200_000) -> DataFrame:
+    """(table_name, uid, noise_kind) of rows(table_name, uid, title, number, raw_text); with a host too, words are also read across the lines of their site."""
+    hosts = F.coalesce("host", F.lit("")) if "host" in rows.columns else F.lit("")
+    rows = rows.filter("uid is not null and raw_text is not null").select("table_name", "uid", "title", "number", hosts.alias("host"), "raw_text")
     sent = rows.sparkSession.sparkContext.broadcast(lexicon(rows))
+    lines = p5.repeated(rows.filter("host <> ''").select("table_name", "uid", "host", "raw_text")).select("table_name", "host", "wording").distinct()
+    few, by = small_rows(lines, broadcast_limit), {}
+    if few is None:
+        rows = rows.join(lines.groupBy("table_name", "host").agg(F.collect_list("wording").alias("skip")), ["table_name", "host"], "left")
+    else:
+        for r in few:
+            by.setdefault((r["table_name"], r["host"]), []).append(r["wording"])
+        by = {k: np.array(v, np.int64) for k, v in by.items()}
+    site = rows.sparkSession.sparkContext.broadcast(by)
 
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         reader = Reader(sent.value)
         for b in batches:
-            out = [(t, u, k) for t, u, title, number, text in zip(b["table_name"], b["uid"], b["title"], b["number"], b["raw_text"]) for k in reader.noise(text, title and consistent(title), _number(number, title, text))]
+            skips = b["skip"] if "skip" in b else (site.value.get(k) for k in zip(b["table_name"], b["host"]))
+            out = [(t, u, k) for t, u, title, number, text, skip in zip(b["table_name"], b["uid"], b["title"], b["number"], b["raw_text"], skips) for k in reader.noise(text, title and consistent(title), _number(number, title, text), skip)]
             yield pd.DataFrame(out, columns=["table_name", "uid", "noise_kind"])
 
     return rows.mapInPandas(find, "table_name string, uid string, noise_kind string").distinct()
