@@ -44,3 +44,12 @@ def test_large_classes_give_all_pairs(spark, monkeypatch):
         monkeypatch.setattr(p6, "BLOCK", block, raising=False)
         got = [tuple(r) for r in p6.found(df).collect()]
         assert len(got) == len(set(got)) and set(got) == want
+
+
+@pytest.mark.parametrize(("small", "large", "common"), [(1, 1, 1), (1, 2, 1), (2, 3, 2), (3, 4, 3), (3, 5, 3), (4, 8, 4), (6, 9, 5), (15, 30, 15)])
+def test_short_sets_meet(small, large, common):
+    rng = np.random.default_rng(small)
+    for _ in range(100):
+        x = rng.integers(0, 2**63, small + large - common, dtype=np.uint64)
+        a, b = np.sort(x[:small]), np.sort(x[small - common :])
+        assert len(np.intersect1d(p6.signatures(a), p6.signatures(b))) >= p6.SHARED

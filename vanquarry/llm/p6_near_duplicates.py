@@ -29,6 +29,7 @@ N_WORDS, THRESHOLD = 5, 0.5
 SLOTS, PER_PART, LEAST, SHARED, HOT, BLOCK = 470, 2.5, 3, 2, 200, 1000
 #: If set, a class of more members is returned as a star; None: every pair is returned.
 ALL_PAIRS: int | None = None
+SHORT = 16
 #: Bits of a signature that are shuffled: equal ones of different parts only make candidates, which are checked.
 _BITS = np.uint64((1 << 48) - 1)
 _STEP = [np.uint64(pow(0xD6E8FEB86659FD93, j, 1 << 64)) for j in range(N_WORDS)]
@@ -97,8 +98,15 @@ def slots(s: np.ndarray, band: int, n_slots: int = SLOTS) -> np.ndarray:
 
 
 def signatures(s: np.ndarray) -> np.ndarray:
-    band = len(s).bit_length() - 1
-    return np.unique(np.concatenate([slots(s, band), slots(s, band + 1)]))
+    """Those of both bands of a set. A set of fewer than SHORT features meets only sets of fewer than 2 * SHORT: there the least features, one more than may be missing from a similar set, are signatures, each SHARED times, so that none is missed."""
+    out = []
+    if len(s) < 2 * SHORT:
+        head = s[: len(s) // 2 + 1]
+        out += [mix(head ^ np.uint64(0x2545F4914F6CDD1D + k)) for k in range(SHARED)]
+    if len(s) >= SHORT:
+        band = len(s).bit_length() - 1
+        out += [slots(s, band), slots(s, band + 1)]
+    return np.unique(np.concatenate(out))
 
 
 def set_id(s: np.ndarray) -> int:
