@@ -4,8 +4,10 @@ import numpy as np
 import pytest
 
 from vanquarry.llm import p2_scans as p2
+from vanquarry.llm import p3_pieces as p3
 from vanquarry.llm import p5_site_lines as p5
 from vanquarry.llm import p6_near_duplicates as p6
+from vanquarry.llm import p7_windows as p7
 
 TEXT = "table_name string, uid string, host string, raw_text string"
 
@@ -22,6 +24,15 @@ def test_words_broken_across_page_furniture():
     assert reader.lexicon.decode("địnl-\ni")[0] == "định"
 
 
+# --- P3, P7 ---
+def test_large_parameter_tables_are_refused(spark, tmp_path):
+    spark.range(1001).selectExpr("concat('t.c', id) field_name", "id + 9 max_chars", "0L overlap_chars", "concat('w', id) window_name", "id + 1 capacity_tokens").write.parquet(f"{tmp_path}/size_limits.parquet")
+    spark.read.parquet(f"{tmp_path}/size_limits.parquet").write.parquet(f"{tmp_path}/context_windows.parquet")
+    for f in (p3.all_pieces, p7.windows_of):
+        with pytest.raises(ValueError, match="parameter table"):
+            f(spark, str(tmp_path))
+
+
 # --- P6 ---
 @pytest.mark.parametrize("n", [250, 511, 1020])
 def test_contained_sets_in_neighbouring_bands_meet(n):

@@ -159,6 +159,14 @@ def small_rows(df: DataFrame, limit: int) -> list | None:
     return rows if len(rows) <= limit else None
 
 
+def parameters(df: DataFrame, limit: int = 1000) -> list:
+    """The rows of a parameter table; an error if there are more than limit."""
+    rows = small_rows(df, limit)
+    if rows is None:
+        raise ValueError(f"a parameter table of more than {limit} rows")
+    return rows
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Cuts the lineage by checkpoint() in the shared folder that the cluster names; a local folder is set only where none is named (tests)."""
     spark = df.sparkSession

@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read, small_rows
+from .common import parameters, read
 
 IDS = {"legal_docs": "uid", "court_cases": "uid", "legal_articles": "article_uid"}
 SCHEMA = "field_name string, item_id string, piece_no int, start_char int, end_char int, piece string"
@@ -76,7 +76,7 @@ def pieces(df: DataFrame, limit: int, overlap: int, oversized: bool = True) -> D
 def all_pieces(spark: SparkSession, sf: str) -> DataFrame:
     """Pieces of every field named in size_limits (a parameter table, checked to hold at most 1,000 rows)."""
     out = spark.createDataFrame([], SCHEMA)
-    for r in small_rows(read(spark, sf, "size_limits"), 1000) or []:
+    for r in parameters(read(spark, sf, "size_limits")):
         if r["field_name"] and r["max_chars"] is not None:
             table, column = r["field_name"].split(".")
             rows = read(spark, sf, table).select(F.lit(r["field_name"]).alias("field_name"), F.col(IDS[table]).alias("item_id"), F.col(column).alias("value"))

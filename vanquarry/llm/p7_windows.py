@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, read, small_rows
+from .common import cut, parameters, read, small_rows
 
 TOKENIZER = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 UNITS, ROUNDS, RATE, GROUP = 1024, 300, 0.15, 500_000
@@ -204,7 +204,7 @@ def fill(counts: DataFrame, windows: list[tuple[str, int]]) -> DataFrame:
 
 def windows_of(spark: SparkSession, sf: str) -> list[tuple[str, int]]:
     """The parameter table, checked to hold at most 1,000 rows."""
-    return sorted({(r["window_name"], r["capacity_tokens"]) for r in small_rows(read(spark, sf, "context_windows"), 1000) or [] if r["window_name"] and r["capacity_tokens"] is not None})
+    return sorted({(r["window_name"], r["capacity_tokens"]) for r in parameters(read(spark, sf, "context_windows")) if r["window_name"] and r["capacity_tokens"] is not None})
 
 
 def p7_windows(spark: SparkSession, sf: str, tokenizer: str = TOKENIZER) -> DataFrame:
