@@ -64,3 +64,15 @@ def test_short_sets_meet(small, large, common):
         x = rng.integers(0, 2**63, small + large - common, dtype=np.uint64)
         a, b = np.sort(x[:small]), np.sort(x[small - common :])
         assert len(np.intersect1d(p6.signatures(a), p6.signatures(b))) >= p6.SHARED
+
+
+def test_small_sets_are_never_missed():
+    rng = np.random.default_rng(11)
+    for n in [*range(1, 41)] * 6:
+        a = rng.integers(0, 1 << 63, n).astype(np.uint64)
+        for m in range(-(-n // 2), 2 * n + 1):
+            least = -(-(n + m) // 3)  # common features for a similarity of one half
+            if least <= min(n, m):
+                b = np.concatenate([a[:least], rng.integers(0, 1 << 63, m - least).astype(np.uint64)])
+                shared = np.intersect1d(p6.signatures(np.sort(a)), p6.signatures(np.sort(b)))
+                assert len(shared) >= p6.SHARED, (n, m)

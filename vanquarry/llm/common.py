@@ -33,10 +33,9 @@ _LATIN_ODD = "ðÐƉɖɑɡıɩʋ"
 _GREEK_CYR = "Ͱ-ϿЀ-ԯ԰-֏"
 #: Characters that a consistent value doesn't hold, or only in a foreign word.
 _FAST = re.compile(rf"[­̀-ͯ{_GREEK_CYR}؀-؅؜۝܏{_INVISIBLE}{_SPACES}​-‏‪-‮⁠-⁯﻿￹-￻{_SINGLETONS}！-～{_LATIN_ODD}᪰-᫿᷀-᷿⃐-⃿︠-︯ऀ-෿\U0001d400-\U0001d7ff\U000e0000-\U000e01ef]")
-_DROP = regex.compile(rf"[\p{{Cf}}{_INVISIBLE}]+")
+_DROP_ONE = regex.compile(rf"[\p{{Cf}}{_INVISIBLE}]")
 _WIDE = {c: c - 0xFEE0 for c in range(0xFF01, 0xFF5F)} | {c: " " for c in (0xA0, 0x1680, *range(0x2000, 0x200B), 0x202F, 0x205F, 0x3000)}
 _CONFUSABLE = re.compile(rf"[{_GREEK_CYR}{_LATIN_ODD}\U0001d400-\U0001d7ff]")
-_WIDE_CHAR = re.compile(rf"[！-～{_SPACES}]")
 _LATIN = regex.compile(r"\p{Latin}")
 _MATH = re.compile("[\U0001d400-\U0001d7ff]")
 _LOOK = str.maketrans(LOOKALIKES)
@@ -48,14 +47,13 @@ def _word(w: str) -> str:
     return w.translate(_LOOK) if _LATIN.search(w) else w
 
 
-def _words(t: str) -> str:
-    """Look-alike letters replaced in words (runs of letters and marks) that have a Latin letter."""
+def _words(t: str, places) -> str:
+    """Look-alike letters, which are at the places, replaced in words (runs of letters and marks) that have a Latin letter."""
     out, at = [], 0
     part = lambda c: c.isalpha() or unicodedata.category(c)[0] == "M"
-    for m in _CONFUSABLE.finditer(t):
-        i = m.start()
+    for i in places:
         if i >= at:
-            j = m.end()
+            j = i + 1
             while i > at and part(t[i - 1]):
                 i -= 1
             while j < len(t) and part(t[j]):
@@ -67,17 +65,26 @@ def _words(t: str) -> str:
 
 def odd(t: str) -> bool:
     """Whether a string holds a character that its consistent form may not hold."""
-    return not t.isascii() and bool(_FAST.search(t) if len(t) < 200 else table("odd")[codes(t)].any())
+    return not t.isascii() and bool(_FAST.search(t) if len(t) < 200 else (kinds()[codes(t)] & ODD).any())
 
 
 def consistent(t: str) -> str:
     """P1 form of a string: NFC, ASCII widths, nothing invisible, Latin letters in words that have any; other words, line ends, tabs, repeated spaces, quotes, dashes and signs stay."""
     if not odd(t):
         return t
-    t = _DROP.sub("", t)
-    if _WIDE_CHAR.search(t):
-        t = t.translate(_WIDE)
-    return unicodedata.normalize("NFC", _words(t))
+    c = codes(t)
+    k = kinds()[c]
+    every = np.bitwise_or.reduce(k)
+    if every & DROP:
+        c = c[k & DROP == 0]
+    if every & WIDE:
+        c = np.where((c >= 0xFF01) & (c < 0xFF5F), c - 0xFEE0, c)
+        c[kinds()[c] & WIDE > 0] = 32
+    if every & (DROP | WIDE):
+        t = text_of(c)
+    if every & (LOOK | DROP | WIDE):
+        t = _words(t, np.flatnonzero(kinds()[c] & LOOK).tolist())
+    return unicodedata.normalize("NFC", t)
 
 
 def codes(t: str) -> np.ndarray:
@@ -85,21 +92,63 @@ def codes(t: str) -> np.ndarray:
     return np.frombuffer(t.encode("utf-32-le", "surrogatepass"), np.uint32)
 
 
+def text_of(c: np.ndarray) -> str:
+    return c.astype(np.uint32, copy=False).tobytes().decode("utf-32-le", "surrogatepass")
+
+
+#: Kinds of a code point, as bits: may be changed by `consistent`; invisible; of another width; look-alike; white space or digit; part of a word; lower case is more than one character or depends on its place.
+ODD, DROP, WIDE, LOOK, BLANK, WORD, CASE = (1 << i for i in range(7))
+
+
 @functools.cache
-def table(kind: str) -> np.ndarray:
-    """Of every code point, whether it is odd (may be changed by `consistent`), a white space or digit, or part of a word (as \\w)."""
-    found = np.zeros(0x110000, bool)
+def kinds() -> np.ndarray:
+    """The kinds of every code point."""
+    found = np.zeros(0x110000, np.uint8)
     every = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
-    pattern = {"odd": _FAST, "blank": re.compile(r"[\s\d]"), "word": re.compile(r"\w")}[kind]
-    found[[ord(c) for c in pattern.findall(every)]] = True
+    for bit, pattern in ((ODD, _FAST), (DROP, _DROP_ONE), (LOOK, _CONFUSABLE), (BLANK, re.compile(r"[\s\d]")), (WORD, re.compile(r"\w"))):
+        found[[ord(c) for c in pattern.findall(every)]] |= np.uint8(bit)
+    found[list(_WIDE)] |= np.uint8(WIDE)
+    found[[0x130, 0x3A3]] |= np.uint8(CASE)
     return found
 
 
+@functools.cache
+def _lower() -> np.ndarray:
+    return np.array([ord(x) if len(x := chr(c).lower()) == 1 else c for c in range(0x110000)], np.uint32)
+
+
+def lower_codes(t: str) -> tuple[str, np.ndarray, np.ndarray]:
+    """The consistent form of a string, the code points of its lower case, and their kinds."""
+    c = codes(t)
+    k = kinds()[c]
+    every = np.bitwise_or.reduce(k) if len(k) else 0
+    if every & ODD:
+        t = consistent(t)
+        c = codes(t)
+        k = kinds()[c]
+        every = np.bitwise_or.reduce(k) if len(k) else 0
+    if every & CASE:
+        c = codes(t.lower())
+        return t, c, kinds()[c]
+    return t, _lower()[c], k
+
+
+def spans(part: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the runs of true values start and end."""
+    edge = np.empty(len(part) + 1, bool)
+    edge[0], edge[-1] = (part[0], part[-1]) if len(part) else (False, False)
+    np.not_equal(part[1:], part[:-1], out=edge[1:-1])
+    at = np.flatnonzero(edge)
+    return at[::2], at[1::2]
+
+
 def polynomial(c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Prefix sums of c[i] * B**i modulo 2**64, and the powers of 1/B: with them the hash of any stretch is (sums[end] - sums[start]) * inverse[start]."""
     power, inverse = _powers(len(c) + 1)
-    sums = np.zeros(len(c) + 1, np.uint64)
-    np.cumsum(c * power[: len(c)], out=sums[1:])
+    sums = np.empty(len(c) + 1, np.uint64)
+    sums[0] = 0
+    np.multiply(c, power[: len(c)], out=sums[1:])
+    np.cumsum(sums[1:], out=sums[1:])
     return sums, inverse
 
 

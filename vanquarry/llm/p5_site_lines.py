@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from .common import Memo, codes, consistent, cut, host, mix, polynomial, read, small_rows, table
+from .common import BLANK, Memo, cut, host, lower_codes, mix, polynomial, read, small_rows
 
 TABLES = ("legal_docs", "court_cases")
 LEAST_DOCS, LEAST_SHARE, MOST_HOSTS, LEAST_WORDS = 5, 0.1, 2, 3
@@ -33,15 +33,14 @@ _ENOUGH = Memo(lambda line: len(_WORDS.findall(line)) >= LEAST_WORDS, 100_000)
 
 
 class Scan:
-    """A text as code points: text (consistent, lower case), the line of each, and of the stream without digits and white space the characters, where lines end in it, and the hash of each line's wording (0 for none)."""
+    """A text as code points: text (consistent, lower case) and their kinds, the line of each, and of the stream without digits and white space the characters, where lines end in it, and the hash of each line's wording (0 for none)."""
 
     def __init__(self, text: str):
-        self.string = consistent(text)
-        self.text = codes(self.string.lower())
+        self.string, self.text, self.kinds = lower_codes(text)
         self.end = np.flatnonzero(self.text == 10)
-        keep = ~table("blank")[self.text]
-        self.stream = self.text[keep]
-        self.upto = np.cumsum(np.add.reduceat(keep, np.concatenate([[0], self.end]), dtype=np.int64)) if len(keep) else np.zeros(1, np.int64)
+        kept = np.flatnonzero(self.kinds & BLANK == 0)
+        self.stream = self.text[kept]
+        self.upto = np.searchsorted(kept, np.append(self.end, len(self.text)))
         self.first = np.concatenate([[0], self.upto[:-1]])
         self.sums, self.inverse = polynomial(self.stream)
         self.wording = self.hashes(self.first, self.upto)

@@ -9,12 +9,13 @@ class from the start, so pairs are formed between classes only. A signature shar
 as such: its members are keyed by it and each other signature of theirs, once more. Every candidate pair is then checked
 exactly on sets made anew from the texts.
 
-Defined results: null uids, null texts and texts of fewer than five words take no part; rows with the same uid count once (the
-text is that of the least by code points, should they differ); an empty table gives an empty result; other columns are ignored.
+Defined results: null uids, null texts and texts of fewer than five words take no part; rows with the same uid count once (of
+different texts the one of the least set id counts); an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,13 +24,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import p5_site_lines as p5
-from .common import cut, h64, mix, polynomial, small_rows, table
+from .common import WORD, cut, h64, lower_codes, mix, polynomial, small_rows, spans
 
 N_WORDS, THRESHOLD = 5, 0.5
 SLOTS, PER_PART, LEAST, SHARED, HOT, BLOCK = 470, 2.5, 3, 2, 200, 1000
 #: If set, a class of more members is returned as a star; None: every pair is returned.
 ALL_PAIRS: int | None = None
-SHORT = 16
+SHORT = 32
 #: Bits of a signature that are shuffled: equal ones of different parts only make candidates, which are checked.
 _BITS = np.uint64((1 << 48) - 1)
 _STEP = [np.uint64(pow(0xD6E8FEB86659FD93, j, 1 << 64)) for j in range(N_WORDS)]
@@ -37,16 +38,12 @@ _STEP = [np.uint64(pow(0xD6E8FEB86659FD93, j, 1 << 64)) for j in range(N_WORDS)]
 
 def words(text: str, skip: np.ndarray | None = None) -> np.ndarray:
     """Hashes of the words of a text in consistent form and lower case, without the lines whose wording is in skip."""
-    scan = p5.Scan(text)
-    c, part = scan.text, table("word")[scan.text]
-    edge = np.empty(len(part) + 1, bool)
-    if len(part):
-        edge[0], edge[-1] = part[0], part[-1]
-        np.not_equal(part[1:], part[:-1], out=edge[1:-1])
+    if skip is not None and len(skip):
+        scan = p5.Scan(text)
+        c, kinds = scan.text, scan.kinds
     else:
-        edge[:] = False
-    at = np.flatnonzero(edge)
-    starts, ends = at[::2], at[1::2]
+        _, c, kinds = lower_codes(text)
+    starts, ends = spans(kinds & WORD > 0)
     if skip is not None and len(skip):
         out = np.isin(scan.wording, skip) & (scan.upto > scan.first)
         if out.any():
@@ -64,7 +61,12 @@ def features(x: np.ndarray) -> np.ndarray:
     total = x[:m].copy()
     for j in range(1, N_WORDS):
         total += x[j : m + j] * _STEP[j]
-    return np.unique(mix(total))
+    return distinct(mix(total))
+
+
+def distinct(x: np.ndarray) -> np.ndarray:
+    x = np.sort(x)
+    return x[np.append(True, x[1:] != x[:-1])] if len(x) else x
 
 
 def slots(s: np.ndarray, band: int, n_slots: int = SLOTS) -> np.ndarray:
@@ -75,26 +77,26 @@ def slots(s: np.ndarray, band: int, n_slots: int = SLOTS) -> np.ndarray:
     fewest are shared by sets in neighbouring bands of which one is contained in the other, twice its size: they meet in the
     upper band only, with c = d = PER_PART / 2 to PER_PART, so that a partition gives one with probability 0.037 at least (the
     PER_PART of 2.5 makes both ends equal). Of SLOTS partitions that gives 17.6 shared signatures on average, near enough to
-    Poisson: fewer than two with 4.2e-7; for sets of 16 to 250 features it is 16 on average: 2e-6. Sets of one band share some 30 (fewer than two with 1e-12).
+    Poisson: fewer than two with 4.2e-7; for sets of SHORT to 250 features it is 16 on average: 2e-6. Sets of one band share some 30 (fewer than two with 1e-12).
     """
     n_parts = max(1, round(2**band / PER_PART))
     value = (mix(s) >> np.uint64(13)).astype(np.float64)
-    out = []
-    for r in range(-(-n_slots // n_parts)):
-        # the features are hashes already: a multiplication with an odd number of the round's own spreads them anew
-        h = s * np.uint64(((r + 1) * 0x9E3779B97F4A7C15 + 2 * band * 0xBF58476D1CE4E5B9 & 0xFFFFFFFFFFFFFFFF) | 1)
-        part = ((h >> np.uint64(32)) * np.uint64(n_parts) >> np.uint64(32)).astype(np.int64)
-        most = min(n_parts, n_slots - r * n_parts)
-        use = slice(None)
-        if most < n_parts:
-            use = part < most
-            part = part[use]
-        n = np.bincount(part, minlength=most)
-        full = np.flatnonzero(n >= LEAST)
-        # sums of 51 bits may round, but alike for the same features, which are in order
-        a = np.bincount(part, value[use], most)[full].astype(np.uint64)
-        out.append(mix(mix(a) + full.astype(np.uint64) * np.uint64(0xA24BAED4963EE407) + np.uint64(band * 1000003 + r)))
-    return np.concatenate(out)
+    # the features are hashes already: a multiplication with an odd number of the round's own spreads them anew
+    h = s * _spread(band, -(-n_slots // n_parts))
+    slot = ((h >> np.uint64(32)) * np.uint64(n_parts) >> np.uint64(32)).view(np.int64)
+    slot += np.arange(len(h), dtype=np.int64)[:, None] * n_parts
+    use = slot < n_slots
+    value = np.broadcast_to(value, h.shape)[use]
+    slot = slot[use]
+    full = np.flatnonzero(np.bincount(slot, minlength=n_slots) >= LEAST)
+    # sums of 51 bits may round, but alike for the same features, which are in order
+    total = np.bincount(slot, value, n_slots)[full].astype(np.uint64)
+    return mix(mix(total) + full.astype(np.uint64) * np.uint64(0xA24BAED4963EE407) + np.uint64(band * 1000003))
+
+
+@functools.cache
+def _spread(band: int, rounds: int) -> np.ndarray:
+    return np.array([[((r + 1) * 0x9E3779B97F4A7C15 + 2 * band * 0xBF58476D1CE4E5B9 & 0xFFFFFFFFFFFFFFFF) | 1] for r in range(rounds)], np.uint64)
 
 
 def signatures(s: np.ndarray) -> np.ndarray:
@@ -106,7 +108,7 @@ def signatures(s: np.ndarray) -> np.ndarray:
     if len(s) >= SHORT:
         band = len(s).bit_length() - 1
         out += [slots(s, band), slots(s, band + 1)]
-    return np.unique(np.concatenate(out))
+    return distinct(np.concatenate(out))
 
 
 def set_id(s: np.ndarray) -> int:
@@ -142,21 +144,31 @@ def pairs(rows: DataFrame, threshold: float = THRESHOLD, broadcast_limit: int =
     sent = rows.sparkSession.sparkContext.broadcast(by)
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen: set[int] = set()  # of a class, one text of a task gives signatures: copies are put together before anything is shuffled
         for b in batches:
-            out = [(t, u, set_id(s) ^ h64(t), len(s), ((signatures(s) ^ np.uint64(h64(t) & (1 << 64) - 1)) & _BITS).view(np.int64)) for t, u, s in zip(b["table_name"], b["uid"], _sets(b, sent.value)) if len(s)]
+            out = []
+            for t, u, s in zip(b["table_name"], b["uid"], _sets(b, sent.value)):
+                if len(s):
+                    i, own = set_id(s) ^ h64(t), np.array([h64(t + u)], np.int64)
+                    out.append((t, u, i, len(s), own if i in seen else np.append(own, ((signatures(s) ^ np.uint64(h64(t) & (1 << 64) - 1)) & _BITS).view(np.int64))))
+                    seen.add(i)
             yield pd.DataFrame(out, columns=["table_name", "uid", "set_id", "n", "signatures"])
 
     def again(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield pd.DataFrame({"table_name": b["table_name"], "set_id": b["set_id"], "features": [s.view(np.int64) for s in _sets(b, sent.value)]})
+            out = [(t, i, s.view(np.int64)) for t, i, s in zip(b["table_name"], b["set_id"], _sets(b, sent.value)) if set_id(s) ^ h64(t) == i]
+            yield pd.DataFrame(out, columns=["table_name", "set_id", "features"])
 
-    base = cut(rows.mapInPandas(sign, "table_name string, uid string, set_id bigint, n int, signatures array<bigint>"))
-    members = base.groupBy("table_name", "uid").agg(F.min("set_id").alias("set_id"))
-    # signatures of one class only go at once; a signature holds its table, so that the rows to sort are narrow
+    # one shuffle of narrow rows: the signatures of each text and, under a key of its own, the text's row of members
+    base = rows.mapInPandas(sign, "table_name string, uid string, set_id bigint, n int, signatures array<bigint>")
+    spread = base.select("set_id", "table_name", "uid", "n", F.posexplode("signatures").alias("pos", "signature")).selectExpr("signature", "set_id", "if(pos = 0, struct(table_name, uid, n), null) as who")
     w = "over (partition by signature)"
-    spread = base.select("set_id", F.explode("signatures").alias("signature")).withColumns({"lo": F.expr(f"min(set_id) {w}"), "hi": F.expr(f"max(set_id) {w}")})
-    several = spread.filter("lo <> hi").select("signature", "set_id").distinct()
-    size = base.groupBy("table_name", "set_id").agg(F.max("n").alias("n"))
+    # signatures of one class only go at once; a signature holds its table, so that the rows to sort are narrow
+    held = cut(spread.withColumns({"lo": F.expr(f"min(set_id) {w}"), "hi": F.expr(f"max(set_id) {w}")}).filter("lo <> hi or who is not null").select("signature", "set_id", "who"))
+    texts = held.filter("who is not null").select("who.*", "set_id")
+    members = texts.groupBy("table_name", "uid").agg(F.min("set_id").alias("set_id"))
+    size = texts.groupBy("table_name", "set_id").agg(F.max("n").alias("n"))
+    several = held.filter("who is null").select("signature", "set_id").distinct()
     shared = cut(several.withColumn("size", F.expr(f"count(*) {w}")).join(size, "set_id"))
     found = _pair(shared.filter(F.col("size") <= HOT), ["signature"], threshold)
     hot = shared.filter(F.col("size") > HOT).select("table_name", "set_id", "n", "signature")
@@ -166,7 +178,7 @@ def pairs(rows: DataFrame, threshold: float = THRESHOLD, broadcast_limit: int =
     found = cut(found.groupBy("table_name", "a", "b").agg(F.sum("n").alias("n")).filter(F.col("n") >= SHARED).select("table_name", "a", "b"))
     # the sets of the classes that occur in a candidate pair, each from one of its texts
     ids = found.select("table_name", F.col("a").alias("set_id")).union(found.select("table_name", "b")).distinct()
-    one = cut(base.select("table_name", "set_id", "uid").join(ids, ["table_name", "set_id"]).groupBy("table_name", "set_id").agg(F.min("uid").alias("uid")))
+    one = cut(texts.select("table_name", "set_id", "uid").join(ids, ["table_name", "set_id"]).groupBy("table_name", "set_id").agg(F.min("uid").alias("uid")))
     if one.count() <= broadcast_limit:
         one = F.broadcast(one)  # else the texts are shuffled to meet the classes
     full = cut(rows.join(one, ["table_name", "uid"]).mapInPandas(again, "table_name string, set_id bigint, features array<bigint>").dropDuplicates(["table_name", "set_id"]))
@@ -217,3 +229,12 @@ def p6_classes(spark: SparkSession, sf: str) -> DataFrame:
     degree = links.select("table_name", F.col("a").alias("set_id")).union(links.select("table_name", "b")).groupBy("table_name", "set_id").agg(F.count("*").alias("links"))
     size = members.groupBy("table_name", "set_id").agg(F.count("*").alias("copies"), F.min("uid").alias("class_id"))
     return members.join(size.join(degree, ["table_name", "set_id"], "left"), ["table_name", "set_id"]).select("table_name", "uid", "class_id", "copies", F.coalesce("links", F.lit(0)).alias("links"))
+
+
+def p6_links(spark: SparkSession, sf: str) -> DataFrame:
+    """(table_name, class_a, class_b, jaccard): the links between different texts, each class by its least uid; with `p6_classes` the whole result without a pair for every two copies."""
+    members, links = pairs(p5.texts(spark, sf))
+    least = members.groupBy("table_name", "set_id").agg(F.min("uid").alias("uid"))
+    for c in "ab":
+        links = links.join(least.select("table_name", F.col("set_id").alias(c), F.col("uid").alias(f"u{c}")), ["table_name", c])
+    return links.select("table_name", F.least("ua", "ub").alias("class_a"), F.greatest("ua", "ub").alias("class_b"), "jaccard")

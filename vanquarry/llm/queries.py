@@ -20,7 +20,7 @@ def queries() -> dict:
         "p3_found": p3.p3_found, "p3_pieces": p3.p3_pieces,
         "p4_found": p4.p4_found, "p4_links": p4.p4_links,
         "p5_found": p5.p5_found, "p5_cleaned": p5.p5_cleaned,
-        "p6_found": p6.p6_found, "p6_classes": p6.p6_classes,
+        "p6_found": p6.p6_found, "p6_classes": p6.p6_classes, "p6_links": p6.p6_links,
         "p7_windows": p7.p7_windows, "p7_report": p7.p7_report,
         "p8_found": p8.p8_found, "p8_leaks": p8.p8_leaks,
         "p9_found": p9.p9_found, "p9_languages": p9.p9_languages,
