@@ -212,9 +212,9 @@ def test_leaks(spark):
             ws[10:10] = part
         docs.append((d, " ,\n".join(ws)))
     for d, t in docs:
-        w = p8.words(t)
+        w = t.lower().replace(",", " ").split()
         for u, q, _, _ in items:
-            q = p8.words(q)
+            q = q.lower().split()
             runs = {tuple(q[i : i + 12]) for i in range(len(q) - 11)}
             if any(tuple(w[i : i + 12]) in runs for i in range(len(w) - 11)):
                 want[d, u] = 0
@@ -225,10 +225,32 @@ def test_leaks(spark):
     got = p8.leaks(dd, ii).collect()
     assert {(r["doc_id"], r["item_uid"]) for r in got if not r["distance"]} == {k for k, v in want.items() if not v}
     assert {(r["doc_id"], r["item_uid"]): r["distance"] for r in got} == want and len(set(want.values())) == 2
-    assert sorted(map(tuple, p8.leaks(dd, ii, broadcast_limit=2).collect())) == sorted(map(tuple, got))
+    assert sorted(map(tuple, p8.leaks(dd, ii, block=200).collect())) == sorted(map(tuple, got))
     assert p8.leaks(dd.limit(0), ii).count() == 0 and p8.leaks(dd, ii.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize(("min_words", "budget"), [(12, 0), (12, 1), (7, 1), (9, 2), (5, 3)])
+def test_index_matches_brute_force(min_words, budget):
+    """Few different words, so that pieces are hit all over, and texts looked at together."""
+    rng = random.Random(min_words + budget)
+    texts = [" ".join(rng.choices("abcd", k=rng.randrange(40))) for _ in range(40)]
+    own = [" ".join(rng.choices("abcd", k=rng.randrange(30))) for _ in range(12)]
+    for k in range(0, 40, 2):
+        part = rng.choice([q for q in own if len(q) > 2 * min_words]).split()[: min_words + 2]
+        part[rng.randrange(len(part))] = rng.choice(["a", "a b", "x"])
+        texts[k] += " " + " ".join(part)
+    index = p8.Index([{"item_uid": str(i), "part": "question", "passage": t} for i, t in enumerate(own)], min_words, budget)
+    got = {(d, index.names[no][0]): least for d, no, least in index.find(texts)}
+    want = {}
+    for d, t in enumerate(texts):
+        for i, q in enumerate(own):
+            w = q.split()
+            least = min((p8.myers(w[k : k + min_words], t.split()) for k in range(len(w) - min_words + 1)), default=99)
+            if least <= budget:
+                want[d, str(i)] = least
+    assert got == want and want
+
+
 # --- P9 ---
 SAMPLES = {
     "vi": "Người lao động được hưởng lương theo quy định. Cơ quan đăng ký phải thông báo cho chủ đầu tư trong mười ngày. Hợp đồng thuê đất hết hạn.",
@@ -256,6 +278,20 @@ def test_languages(spark, models):
     assert p9.languages(df.limit(0), models).count() == 0 and p9.languages(df, None).count() == 0 and p9.fit([]) is None
 
 
+def test_languages_come_from_the_labels():
+    german = "Der Mieter muss die Kündigung vor der Anhörung einreichen. Das Gericht veröffentlicht die Liste der Gläubiger. Jede Partei führt ihre Bücher selbst."
+    rows = [(k, t) for k, t in [*SAMPLES.items(), ("de", german)] for _ in range(4)] + [("xx", t) for t in SAMPLES.values()] * 2 + [("nl", SAMPLES["en"])] * 3
+    m = p9.fit(rows)
+    assert m.languages == sorted([*SAMPLES, "de"])
+    assert m.classify([p9.words("Das Gericht veröffentlicht die Bücher der Mieter")])[0][0] == "de"
+
+
+def test_one_odd_sentence_does_not_turn_rejection_off():
+    rows = [(k, t) for k, t in SAMPLES.items()] * 40
+    plain = p9.fit(rows).limit["en"]
+    assert p9.fit([*rows, ("en", "qxzzj wvvk kkzq jqx.")]).limit["en"] < 1.5 * plain
+
+
 def test_rejection(models):
     ws = p9.words("qqzx wwkj zzzx xqkw jjqz")
     assert models.classify([ws])[0][0] == "und"
@@ -277,5 +313,5 @@ def test_held_out_accuracy(spark, sf):
     """On labelled rows that the models weren't fitted on, but for the share of labels that is wrong in the data."""
     docs = p9.read(spark, sf, "documents")
     m = p9.fit(p9.sample(docs, 12))
-    r = p9.languages(docs.filter(F.col("lang").isin(*p9.LANGUAGES)), m).filter("para_no = 0").select(F.avg((F.col("stored") == F.col("lang")).cast("double"))).first()[0]
+    r = p9.languages(docs.filter(F.col("lang").isin(*SAMPLES)), m).filter("para_no = 0").select(F.avg((F.col("stored") == F.col("lang")).cast("double"))).first()[0]
     assert r > 0.85
