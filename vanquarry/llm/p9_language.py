@@ -6,9 +6,12 @@ lowest cross-entropy per character; it is rejected ("und") above the language's
 fitting. A paragraph has the language of most of its non-blank characters, a document likewise. Confidence is the share of
 characters in that language, times the mean probability of the language against the next best.
 
-The models are fitted on a bounded sample of labelled rows: SAMPLE rows per language, those of the least hash of doc_id,
-whole texts. As labels are partly wrong, sentences that models fitted on all of them ascribe to another language are left
-out and the models fitted again. The vi model is fitted on words with and without marks.
+The models are fitted on a bounded sample of labelled rows: SAMPLE rows per label (MOST in all), those of the least hash of
+doc_id, whole texts. Languages are the labels of two lower-case letters that stand for one: taken by their number of rows, the
+model of a label must be clearly better on its texts than those of the labels before (one put on texts of other languages
+fails that; see `true_labels`). As labels are partly wrong, sentences that the models ascribe to another language
+are left out and the models fitted again. The vi model is fitted on words with and without marks. The limit of rejection is
+SLACK times the QUANTILE of the cross-entropies of sentences held out, so that single odd ones don't move it.
 
 Defined results: null and empty texts, and texts without letters, get no language and no rows in `wrong`; a repeated row
 counts once; without labelled rows nothing can be fitted and no language is assigned; extra columns are ignored.
@@ -28,8 +31,7 @@ from pyspark.sql import functions as F
 
 from .common import consistent, read
 
-LANGUAGES = ("en", "fr", "ru", "vi", "zh")
-ORDER, SAMPLE, DISCOUNT, HELD_OUT, SLACK = 5, 400, 0.75, 5, 1.25
+ORDER, SAMPLE, MOST, DISCOUNT, HELD_OUT, SLACK, QUANTILE, APART = 5, 400, 20_000, 0.75, 5, 1.5, 0.99, 0.3
 ALPHABET = 1 << 16  # below order 1 all characters are as likely
 _HAN = "㐀-䶿一-鿿豈-﫿"
 _WORD = re.compile(rf"[{_HAN}]|[^\W\d_{_HAN}]+")
@@ -163,16 +165,20 @@ class Models:
         self.place.update(zip(new, range(len(self.place), len(self.place) + len(new))))
         self.known = np.concatenate(found)
 
-    def classify(self, units: list[list[str]]) -> list[tuple[str, float, float]]:
-        """Of lists of words: language, its probability against the next best, cross-entropy per character."""
-        if not units:
-            return []
+    def scores(self, units: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+        """Of lists of words: the cost in each language, and the number of characters."""
         size = np.array(list(map(len, units)))
         self.learn({w for ws in units for w in ws})
         at = np.fromiter((self.place[w] for ws in units for w in ws), np.int64, size.sum())
         starts = np.cumsum(size) - size
         n = np.add.reduceat(np.fromiter((len(w) + 1 for ws in units for w in ws), np.int64, size.sum()), starts)
-        cost = np.add.reduceat(self.known[at], starts, axis=0)
+        return np.add.reduceat(self.known[at], starts, axis=0), n
+
+    def classify(self, units: list[list[str]]) -> list[tuple[str, float, float]]:
+        """Of lists of words: language, its probability against the next best, cross-entropy per character."""
+        if not units:
+            return []
+        cost, n = self.scores(units)
         best = cost.argmin(1)
         row = np.arange(len(units))
         least = cost[row, best]
@@ -185,36 +191,60 @@ class Models:
         return [("und" if o else self.languages[i], x, e) for o, i, x, e in zip(out.tolist(), best.tolist(), p.tolist(), entropy.tolist())]
 
 
+def _counts(units: list[tuple[str, list[str]]]) -> dict[str, Counter]:
+    counts: dict[str, Counter] = {}
+    for lang, ws in units:
+        counts.setdefault(lang, Counter()).update(ws)
+        if lang == "vi":
+            counts[lang].update(map(unmarked, ws))
+    return counts
+
+
+def true_labels(rows: list[list[tuple[str, list[str]]]]) -> list[str]:
+    """The labels that stand for a language of their own, in order of first use: their model, fitted on every other row, must be cheaper by APART a character than those of the labels before, for at least half of the sentences of their other rows. rows are lists of (label, words)."""
+    at: Counter = Counter()
+    halves: tuple[list, list] = ([], [])
+    for units in rows:
+        if units:
+            halves[at[units[0][0]] % 2].extend(units)
+            at[units[0][0]] += 1
+    counts = _counts(halves[0])
+    label = np.array([x for x, _ in halves[1]])
+    if not len(label):
+        return []
+    models = Models(counts)
+    cost, n = models.scores([ws for _, ws in halves[1]])
+    cost /= n[:, None]
+    place, taken = {x: i for i, x in enumerate(models.languages)}, []
+    for x in counts:
+        mine = cost[label == x]
+        least = mine[:, [place[y] for y in taken]].min(1) if taken else np.inf
+        if len(mine) and 2 * np.count_nonzero(mine[:, place[x]] + APART < least) >= len(mine):
+            taken.append(x)
+    return taken
+
+
 def fit(rows: list[tuple[str, str]]) -> Models | None:
     """Models from (label, text)."""
-    units = [(lang, ws) for lang, t in rows for s in _SENTENCE.split(consistent(t)) if (ws := words(s))]
+    each = [[(lang, ws) for s in _SENTENCE.split(consistent(t)) if (ws := words(s))] for lang, t in rows]
+    true = set(true_labels(each))
+    units = [u for x in each for u in x if u[0] in true]
     kept = units
     for _ in range(2):
-        counts: dict[str, Counter] = {}
-        for lang, ws in kept:
-            counts.setdefault(lang, Counter()).update(ws)
-            if lang == "vi":
-                counts[lang].update(map(unmarked, ws))
+        counts = _counts(kept)
         if not counts:
             return None
         models = Models(counts)
         kept = [u for u, (lang, _, _) in zip(units, models.classify([ws for _, ws in units])) if lang == u[0]]
     # limits of rejection: every HELD_OUT-th sentence is scored by models fitted on the others
-    counts = {x: Counter() for x in models.languages}
-    for i, (lang, ws) in enumerate(kept):
-        if i % HELD_OUT:
-            counts[lang].update(ws)
-            if lang == "vi":
-                counts[lang].update(map(unmarked, ws))
-    counts = {x: n for x, n in counts.items() if n}
+    counts = _counts([u for i, u in enumerate(kept) if i % HELD_OUT])
     if set(counts) == set(models.languages):
-        other = Models(counts)
         held = kept[::HELD_OUT]
-        scored = list(zip(held, other.classify([ws for _, ws in held])))
+        scored = list(zip(held, Models(counts).classify([ws for _, ws in held])))
         for lang in models.languages:
             e = [entropy for (x, ws), (_, _, entropy) in scored if x == lang and len(ws) > 2]
             if e:
-                models.limit[lang] = SLACK * float(np.max(e))
+                models.limit[lang] = SLACK * float(np.quantile(e, QUANTILE))
     return models
 
 
@@ -240,13 +270,20 @@ def paragraphs(parts: list[tuple[int, int, str, float]]) -> list[tuple[int, str,
 
 
 def sample(docs: DataFrame, n: int = SAMPLE) -> list[tuple[str, str]]:
-    """At most n labelled rows per language, the whole texts, of the least hash of doc_id."""
-    labelled = docs.filter(F.col("lang").isin(*LANGUAGES) & F.col("text").isNotNull())
-    out = []
-    for lang in LANGUAGES:
-        # ids first, so that every task sends n narrow rows at most, then the texts of the chosen ones
-        ids = [r["doc_id"] for r in labelled.filter(F.col("lang") == lang).select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(n).collect()]
-        out += [(lang, t) for _, t in sorted({(r["doc_id"], r["text"]) for r in labelled.filter((F.col("lang") == lang) & F.col("doc_id").isin(ids)).select("doc_id", "text").collect()})]
+    """At most n labelled rows per label of two lower-case letters (of which there are 676 at most), the whole texts, of the least hash of doc_id; the most frequent label first."""
+    plain = docs.filter(F.col("lang").rlike("^[a-z]{2}$") & F.col("doc_id").isNotNull()).withColumn("h", F.xxhash64("doc_id"))
+    rows = {r["lang"]: r["n"] for r in plain.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    if not rows:
+        return []
+    n = min(n, MOST // len(rows))
+    # a share of all hashes that holds n and half as many again, so that one pass over the texts suffices
+    below = F.create_map(*[F.lit(x) for k, v in rows.items() for x in (k, min((1 << 63) - 1, int((1.5 * n / v) * 2**64) - (1 << 63)))])
+    near = plain.filter(F.col("h") <= below[F.col("lang")]).filter("text is not null").groupBy("lang", "h", "doc_id").agg(F.min("text").alias("text")).collect()
+    out, taken = [], Counter()
+    for r in sorted(near, key=lambda r: (-rows[r["lang"]], r["lang"], r["h"], r["doc_id"])):
+        if taken[r["lang"]] < n:
+            taken[r["lang"]] += 1
+            out.append((r["lang"], r["text"]))
     return out
 
 
