@@ -18,7 +18,7 @@ from vanquarry.llm.common import cut
 # --- P4 ---
 REGISTRY = [
     (1, "court", "Tòa án nhân dân tỉnh Yên Bắc"), (2, "court", "Tòa án nhân dân huyện Lam Điền, tỉnh Nhơn Giang"), (3, "court", "Tòa án nhân dân khu vực 1 - Yên Bắc"), (4, "court", "Tòa án nhân dân khu vực 2 - Yên Bắc"),
-    (5, "body", "Ủy ban nhân dân tỉnh Yên Bắc"), (6, "body", "Thủ tướng Chính phủ"), (7, "body", "Chính phủ"), (8, "body", "Bộ Cảng và Vận tải"), (9, "signer", "Nguyễn Trọng Hà"), (10, "signer", "Trần Bá Uyên"), (11, "signer", "Quách Bá Uyên"), (12, "body", "Quốc hội"),
+    (5, "body", "Ủy ban nhân dân tỉnh Yên Bắc"), (6, "body", "Thủ tướng Chính phủ"), (7, "body", "Chính phủ"), (8, "body", "Bộ Cảng và Vận tải"), (9, "signer", "Nguyễn Trọng Hà"), (10, "signer", "Trần Bá Uyên"), (11, "signer", "Quách Bá Uyên"), (12, "body", "Quốc hội"), (15, "signer", "Một Hai Ba Bốn Năm Sáu Bảy Tám Chín"),
 ]
 
 
@@ -29,11 +29,13 @@ REGISTRY = [
         ("court", "Tòa Lam Điền", 2), ("court", "Tòa án nhân dân tỉnh Nhơn Giang, huyện Lam Điền", 2), ("court", "TAND KV1 - Yên Bắc", 3), ("court", "Yên Bắc - TAND KV 2", 4), ("court", "Tòa án nhân dân huyện Gia Ninh", None),
         ("body", "U.B.N.D. tỉnh Yên Bắc", 5), ("body", "tỉnh Yên Bắc - UBND", 5), ("body", "TTg", 6), ("body", "Chính phủ - Thủ tướng", 6), ("body", "CP", 7), ("body", "Chính phu", 7), ("body", "BCVT", 8), ("body", "Bộ Cảng và Vận tải (cũ)", 8), ("body", "Sở Kế hoạch Bình Xá", None), ("body", "Quốchội", 12),
         ("signer", "N.T. Hà", 9), ("signer", "Ng. Trọng Hà", 9), ("signer", "Hà, Nguyễn Trọng", 9), ("signer", "ThS. Nguyễn Trọng Hà", 9), ("signer", "Nguyễn Tring Hà", 9), ("signer", "Trọng Hà (đã ký)", 9), ("signer", "Bá Uyên", None), ("signer", "Cù Lệ Ngân", None),
+        ("signer", "Hà Trọng Nguyễn", 9), ("signer", "Trong Ha Nguyen", 9), ("signer", "Một Hai Ba Bốn Năm Sáu Bảy Tám Chín", 15), ("signer", "Chín Một Hai Ba Bốn Năm Sáu Bảy Tấm", 15), ("signer", "Hai Một Ba Bốn Năm Sáu Bảy Tám Chín", 15),
+        ("court", "Yên Bắc, tỉnh, dân, nhân, án, Tòa", 1), ("court", "tỉnh Nhơn Giang huyện Lam Điền TAND", 2),
     ],
 )
 def test_names(kind, name, entity):
-    tries = p4.build([{"entity_id": i, "entity_kind": k, "canonical_name": n} for i, k, n in REGISTRY])
-    found = p4.look_up(tries, kind, name)
+    found = p4.Registry(REGISTRY).look_up(kind, [name, "Trần Bá Uyên", "TAND"])
+    found = [x[1:] for x in found if x[0] == name]
     best = [e for e, d, m in found if (d, m) == min((d, m) for _, d, m in found)]
     assert (best[0] if len(best) == 1 else None) == entity
 
@@ -53,9 +55,12 @@ def test_trie_matches_brute_force():
     trie = p4.Trie()
     for w in words:
         trie.add(w, w)
-    for _ in range(60):
-        q = "".join(rng.choices("abcd", k=rng.randrange(1, 8)))
-        assert {(d, w) for d, w in trie.near(q, 2)} == {(osa(w, q), w) for w in words if osa(w, q) <= 2}
+    other, typed = p4.Trie(), {"".join(rng.choices("abcd", k=rng.randrange(1, 8))) for _ in range(80)}
+    for w in typed:
+        other.add(w, w)
+    for most in (0, 1, 2):
+        got = {(d, a, b) for d, these, those in trie.join(other, most) for a in these for b in those}
+        assert got == {(osa(a, b), a, b) for a in words for b in typed if osa(a, b) <= most}
 
 
 def test_links(spark):
