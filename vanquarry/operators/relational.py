@@ -84,11 +84,15 @@ def shuffled(options: Column, key: Column) -> Column:
     return F.transform(F.array_sort(tagged), lambda s: s["x"])
 
 
-def core_articles(articles: DataFrame, least: int = 8, margin: int = 2, length: int = 80) -> DataFrame:
-    """Articles of enough text that are neither among the first nor the last of a document with enough of them; one window instead of a query per article."""
+def long_enough(content: str | Column = "content", length: int = 80) -> Column:
+    return F.char_length(text.strip(text._text(content))) >= length
+
+
+def core_articles(articles: DataFrame, least: int = 8, margin: int = 2, long: Column | None = None) -> DataFrame:
+    """Articles of enough text (`long`, by default told from the content) that are neither among the first nor the last of a document with enough of them; one aggregation and a join instead of a query per article."""
     n = text.article_int("article_number")
     bounds = articles.groupBy("doc_uid").agg(F.min(n).alias("_lo"), F.max(n).alias("_hi"))
-    rows = articles.withColumn("_n", n).filter(F.char_length(text.strip(text._text("content"))) >= length).join(bounds, "doc_uid")
+    rows = articles.withColumn("_n", n).filter(long_enough() if long is None else long).join(bounds, "doc_uid")
     return rows.filter((F.col("_hi") - F.col("_lo") + 1 >= least) & F.col("_n").between(F.col("_lo") + margin, F.col("_hi") - margin)).drop("_n", "_lo", "_hi")
 
 
@@ -184,26 +188,54 @@ def until_gap(pages: DataFrame, key: str, order: str, hit: str, gap: int = 10) -
     return rows.withColumn("_stop", stop).filter(F.coalesce("_stop", F.lit(0)) == 0).drop("_run", "_in_run", "_stop")
 
 
-def search(docs: DataFrame, params: DataFrame, top: int = 5, pool: int = 300) -> DataFrame:
+GRAM = 6
+
+
+def holding(docs: DataFrame, fragments: DataFrame, columns: list[str], hint=lambda df: df) -> DataFrame:
+    """(fragment, uid, issue_date): the documents that hold one of the distinct fragments(fragment, lower case) in one of the columns, in any case.
+
+    An equi-join: documents are cut into all stretches of GRAM characters (fewer for shorter fragments), of which a fragment has its first; what meets is compared in full.
+    """
+    sizes = sorted(r[0] for r in fragments.select(F.least(F.char_length("fragment"), F.lit(GRAM))).distinct().collect() if r[0])
+    whole = F.lower(F.concat_ws("\n", *columns))
+    cut = lambda n: F.transform(F.sequence(F.lit(1), F.greatest(F.char_length("_whole") - (n - 1), F.lit(1))), lambda i: F.substring(F.col("_whole"), i, F.lit(n)))
+    grams = F.array_distinct(F.concat(*map(cut, sizes))) if sizes else F.array().cast("array<string>")
+    rows = docs.select("uid", "issue_date", whole.alias("_whole")).withColumn("_gram", F.explode(grams))
+    return rows.join(hint(fragments.withColumn("_gram", F.left("fragment", F.lit(GRAM)))), "_gram").filter(F.col("_whole").contains(F.col("fragment"))).select("fragment", "uid", "issue_date")
+
+
+def newest(df: DataFrame, key: str, n: int) -> DataFrame:
+    """Of each key the n newest rows; Spark limits the groups within each partition first."""
+    return df.withColumn("_row", F.row_number().over(Window.partitionBy(key).orderBy(F.desc_nulls_last("issue_date"), "uid"))).filter(F.col("_row") <= n).drop("_row")
+
+
+def search(docs: DataFrame, params: DataFrame, top: int = 5, pool: int = 300, sent: int = 100_000) -> DataFrame:
     """The best candidates for each search, with score, reasons and rank.
 
     params(search_id, keywords array, doc_type, year, doc_numbers array), in normal form; docs(uid, doc_id, title, doc_type, issue_date).
     Searches with numbers take the documents that hold one; where none does, and for searches without numbers, those that fit a
-    keyword, the type or the year, the newest `pool` of them. params is the smaller side by far and is checked to hold at most 100,000 searches
-    before it is sent to every task; the documents stay where they are and only rows that fit move on.
+    keyword, the type or the year, the newest `pool` of them. As the newest of several conditions together are among the newest
+    of each, every keyword, type and year is looked up once, cut to its newest `pool`, and then given to the searches that name
+    it: equi-joins only. Up to `sent` searches are broadcast; more are joined by shuffling.
     """
-    if params.limit(100_001).count() > 100_000:
-        raise ValueError("give the searches in blocks of at most 100,000")
+    hint = F.broadcast if params.limit(sent + 1).count() <= sent else lambda df: df
     p = params.withColumn("patterns", F.flatten(F.transform("doc_numbers", text.number_patterns)))
-    d = docs.select("uid", F.col("doc_id").alias("d_id"), F.col("title").alias("d_title"), F.col("doc_type").alias("d_type"), "issue_date", text._text(text.doc_number("doc_id")).alias("d_number"))
-    has = lambda c, x: F.lower(F.coalesce(F.col(c), F.lit(""))).contains(F.lower(x))
-    by_number = F.exists("patterns", lambda x: has("d_id", x))
-    exact = d.join(F.broadcast(p.filter("size(patterns) > 0")), by_number).withColumn("_row", F.row_number().over(Window.partitionBy("search_id").orderBy(F.desc_nulls_last("issue_date"), "uid")))
-    fits = F.exists("keywords", lambda x: has("d_title", x) | has("d_id", x)) | F.coalesce(F.col("d_type") == F.col("doc_type"), F.lit(False)) | F.coalesce(F.col("d_id").contains(F.col("year").cast("string")), F.lit(False))
-    free = (F.size("keywords") == 0) & F.col("doc_type").isNull() & F.col("year").isNull()
+    d = docs.select("uid", F.col("doc_id").alias("d_id"), F.col("title").alias("d_title"), F.col("doc_type").alias("d_type"), "issue_date")
+    wanted = p.select("search_id", F.explode("patterns").alias("fragment")).select("search_id", F.lower("fragment").alias("fragment")).distinct()
+    exact = holding(d, wanted.select("fragment").distinct(), ["d_id"], hint).join(hint(wanted), "fragment").select("search_id", "uid", "issue_date").distinct()
     rest = p.join(exact.select("search_id").distinct(), "search_id", "left_anti")
-    wide = d.join(F.broadcast(rest), fits | free).withColumn("_row", F.row_number().over(Window.partitionBy("search_id").orderBy(F.desc_nulls_last("issue_date"), "uid")))
-    rows = exact.unionByName(wide).filter(F.col("_row") <= pool)
+    words = rest.select("search_id", F.explode("keywords").alias("fragment")).select("search_id", F.lower("fragment").alias("fragment")).distinct()
+    by_word = newest(holding(d, words.select("fragment").distinct(), ["d_title", "d_id"], hint), "fragment", pool).join(words, "fragment")
+    by_type = newest(d.select(F.col("d_type").alias("doc_type"), "uid", "issue_date").filter("doc_type is not null"), "doc_type", pool).join(rest.select("search_id", "doc_type"), "doc_type")
+    digits = F.array_distinct(F.filter(F.transform(F.sequence(F.lit(1), F.greatest(F.char_length("d_id") - 3, F.lit(1))), lambda i: F.substring(F.col("d_id"), i, F.lit(4)).try_cast("int")), lambda x: x.between(1000, 9999)))
+    by_year = newest(d.filter("d_id is not null").select("uid", "issue_date", F.explode(digits).alias("year")), "year", pool).join(rest.select("search_id", "year"), "year")
+    free = rest.filter((F.size("keywords") == 0) & F.col("doc_type").isNull() & F.col("year").isNull()).select("search_id", F.lit(1).alias("_all"))
+    of_all = d.select("uid", "issue_date").orderBy(F.desc_nulls_last("issue_date"), "uid").limit(pool).withColumn("_all", F.lit(1)).join(free, "_all")
+    found = exact
+    for one in (by_word, by_type, by_year, of_all):
+        found = found.unionByName(one.select("search_id", "uid", "issue_date"))
+    found = newest(found.distinct(), "search_id", pool).drop("issue_date")
+    rows = d.withColumn("d_number", text._text(text.doc_number("d_id"))).join(found, "uid").join(hint(p), "search_id")
     score, reasons = score_candidate()
     rows = rows.withColumn("score", score).withColumn("reasons", reasons).filter("score > 0")
     w = Window.partitionBy("search_id").orderBy(F.desc("score"), F.asc_nulls_first("issue_date"), "uid")
@@ -233,6 +265,20 @@ def score_candidate() -> tuple[Column, Column]:
     return F.when(weak, -10).otherwise(F.aggregate(rules, F.lit(0), lambda a, x: a + x["points"])), F.when(weak, F.array(F.lit("weak match"))).otherwise(F.transform(rules, lambda x: x["reason"]))
 
 
+def head(items: DataFrame, n: int, order: str) -> DataFrame:
+    """The first n items by order; all if n is not above 0."""
+    return items.orderBy(order).limit(n) if n > 0 else items
+
+
+def together(parts: list[DataFrame], n: int, key: str, seed: int | str = 0) -> DataFrame:
+    """Sub-samples one after another, cut to n rows (earlier parts first), then in seeded order."""
+    rows = None
+    for k, part in enumerate(parts):
+        one = part.withColumn("_part", F.lit(k))
+        rows = one if rows is None else rows.unionByName(one)
+    return rows.orderBy("_part", seeded(F.col(key), seed), key).limit(n).orderBy(seeded(F.col(key), f"order{seed}"), key).drop("_part")
+
+
 def decide(ranked: DataFrame, chosen: DataFrame | None = None, least: int = 160, margin: int = 50) -> DataFrame:
     """(search_id, uid, how): the best candidate if it is good enough and well ahead, else the one that `chosen`(search_id, uid) names among the candidates."""
     w = Window.partitionBy("search_id").orderBy("rank")

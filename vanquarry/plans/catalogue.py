@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vanquarry.functions import dates, ids, metrics, text
@@ -43,16 +43,18 @@ def oracle_sql() -> dict[str, str]:
     return dict(_SQL)
 
 
-def docs(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
-    """One row per document, of the columns that don't change between crawls."""
+def docs(spark: SparkSession, sf: str, *columns: str | Column) -> DataFrame:
+    """One row per document, of the columns (or what is made of them) that don't change between crawls."""
     return read(spark, sf, "legal_docs").select("uid", *columns).dropDuplicates(["uid"])
 
 
-def articles(spark: SparkSession, sf: str) -> DataFrame:
-    return read(spark, sf, "legal_articles").dropDuplicates()
+def articles(spark: SparkSession, sf: str, *columns: str | Column) -> DataFrame:
+    """One row per article, of the columns named (all by default); what is made of a text is best named here as an expression, so that it and not the text is shuffled."""
+    a = read(spark, sf, "legal_articles")
+    return (a.select("article_uid", *columns) if columns else a).dropDuplicates(["article_uid"])
 
 
-def one_case(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
+def one_case(spark: SparkSession, sf: str, *columns: str | Column) -> DataFrame:
     return read(spark, sf, "court_cases").select("uid", *columns).dropDuplicates(["uid"])
 
 
@@ -74,7 +76,7 @@ def norm_loose_documents(spark, sf):
     f"SELECT article_uid, {SPACES(f'''regexp_replace(replace(regexp_replace(regexp_replace(content, '(?im)^{WS}*([0-9]+|[a-z]+|[ivxldm]+)[.)]{WS}*', ' ', 'g'), '(?m)^{WS}*-{WS}*', ' ', 'g'), chr(10), ' '), '[^\\p{{L}}\\p{{N}}_{S}]', '', 'g')''')} AS plain FROM {ONE_ARTICLE}"
 )
 def norm_legal_text(spark, sf):
-    return articles(spark, sf).select("article_uid", text.legal_plain("content").alias("plain"))
+    return articles(spark, sf, text.legal_plain("content").alias("plain"))
 
 
 @query(
@@ -90,8 +92,8 @@ def slug_key(spark, sf):
     FROM (SELECT uid, unnest(string_split(raw_text, chr(10))) line FROM {ONE_DOC})) GROUP BY uid"""
 )
 def caps_ratio_lines(spark, sf):
-    line = docs(spark, sf, "raw_text").select("uid", F.explode(F.split("raw_text", "\n", -1)).alias("line"))
-    return line.groupBy("uid").agg(F.count("*").alias("n_lines"), F.count(F.when(text.is_caps_line("line"), 1)).alias("n_caps"))
+    lines = F.split("raw_text", "\n", -1)
+    return docs(spark, sf, F.size(lines).cast("bigint").alias("n_lines"), F.size(F.filter(lines, lambda x: text.is_caps_line(x))).cast("bigint").alias("n_caps"))
 
 
 @query(
@@ -100,7 +102,7 @@ def caps_ratio_lines(spark, sf):
     WHERE NOT (i = n AND line = '') AND lower({STRIP('line')}) NOT IN ('đang theo dõi', 'bổ sung') AND NOT contains(line, 'data-href=') AND NOT contains(line, 'docitem-view-change-content') GROUP BY uid"""
 )
 def noise_line_clean(spark, sf):
-    return docs(spark, sf, "raw_text").select("uid", text.clean_crawled("raw_text").alias("cleaned"))
+    return docs(spark, sf, text.clean_crawled("raw_text").alias("cleaned"))
 
 
 @query(
@@ -108,7 +110,7 @@ def noise_line_clean(spark, sf):
     SELECT article_uid, list_filter(list_transform(string_split(replace(content, chr(10), ' '), '.'), lambda x: {STRIP('x')}), lambda x: x <> '') p FROM {ONE_ARTICLE})"""
 )
 def excerpt_two_sentences(spark, sf):
-    return articles(spark, sf).select("article_uid", text.excerpt("content").alias("excerpt"))
+    return articles(spark, sf, text.excerpt("content").alias("excerpt"))
 
 
 _DAY = "strftime(try_cast(issue_date AS DATE), '{f}')"
@@ -161,7 +163,7 @@ def court_acronyms(spark, sf):
     format('Điều {{}} {{}}', article_number, doc_id) AS label, format('Điều {{}} của {{}}', article_number, doc_id) AS answer FROM {ONE_ARTICLE}"""
 )
 def article_labels(spark, sf):
-    return articles(spark, sf).select("article_uid", text.article_int("article_number").alias("n"), text.article_value("article_number")["suffix"].alias("suffix"), text.article_label("article_number", "doc_id").alias("label"), text.answer_label("article_number", "doc_id").alias("answer"))
+    return articles(spark, sf, "article_number", "doc_id").select("article_uid", text.article_int("article_number").alias("n"), text.article_value("article_number")["suffix"].alias("suffix"), text.article_label("article_number", "doc_id").alias("label"), text.answer_label("article_number", "doc_id").alias("answer"))
 
 
 # --- parsers -------------------------------------------------------------------------------------------------------------
@@ -171,7 +173,7 @@ def article_labels(spark, sf):
 )
 def skeleton_split(spark, sf):
     """A round trip: texts put together from the articles, with headings and a quoted one between, are split again."""
-    a = articles(spark, sf).select("doc_uid", "article_uid", F.regexp_replace(text.nfc("content"), r"[^\p{L}\p{N} ,]", "").alias("content")).distinct()
+    a = articles(spark, sf, "doc_uid", F.regexp_replace(text.nfc("content"), r"[^\p{L}\p{N} ,]", "").alias("content"))
     a = a.withColumn("k", F.row_number().over(Window.partitionBy("doc_uid").orderBy("article_uid")))
     part = F.concat(F.lit("Điều "), F.col("k").cast("string"), F.lit(". Mục "), F.col("k").cast("string"), F.lit("\n"), F.col("content"))
     body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("k", part.alias("t")))), lambda x: x["t"]), "\n")
@@ -187,7 +189,7 @@ def document_articles(spark, sf):
 
 @query()
 def document_titles(spark, sf):
-    return docs(spark, sf, "raw_text").select("uid", documents.document_title("raw_text").alias("title"))
+    return docs(spark, sf, documents.document_title("raw_text").alias("title"))
 
 
 @query(
@@ -205,7 +207,7 @@ def case_sections(spark, sf):
 def case_metadata(spark, sf):
     """What the texts of the cases say of themselves."""
     t = F.col("raw_text")
-    return one_case(spark, sf, "raw_text").select("uid", cases.case_number(t).alias("case_number"), cases.case_day(t).alias("case_date"), cases.case_title(t).alias("title"), cases.legal_bases(cases.sections(t)["decision"]).alias("legal_bases"))
+    return one_case(spark, sf, cases.case_number(t).alias("case_number"), cases.case_day(t).alias("case_date"), cases.case_title(t).alias("title"), cases.legal_bases(cases.sections(t)["decision"]).alias("legal_bases"))
 
 
 @query(
@@ -232,7 +234,8 @@ def strict_title_filter(spark, sf):
     f"""SELECT uid, len(p) AS n_pages, len(p) < 1 OR list_sum(list_transform(p[1:5], lambda x: length({STRIP('x')}))) < 50 * len(p[1:5]) AS scanned FROM (SELECT uid, list_filter(list_transform(string_split(raw_text, chr(10) || chr(10) || chr(10)), lambda x: {STRIP('x')}), lambda x: x <> '') p FROM {ONE_CASE})"""
 )
 def scanned_detector(spark, sf):
-    return one_case(spark, sf, "raw_text").withColumn("p", files.pages(F.col("raw_text"))).select("uid", F.size("p").cast("bigint").alias("n_pages"), files.is_scanned(F.col("p")).alias("scanned"))
+    p = files.pages(F.col("raw_text"))
+    return one_case(spark, sf, F.size(p).cast("bigint").alias("n_pages"), files.is_scanned(p).alias("scanned"))
 
 
 # --- relational ----------------------------------------------------------------------------------------------------------
@@ -259,7 +262,7 @@ def upsert_merge(spark, sf):
 
 @query(f"SELECT a.article_uid, a.doc_uid FROM {ONE_ARTICLE} a WHERE EXISTS (SELECT 1 FROM legal_docs d WHERE d.uid = a.doc_uid AND d.legal_field IS NOT NULL)")
 def fk_semi(spark, sf):
-    return rel.with_parent(articles(spark, sf), read(spark, sf, "legal_docs").filter("legal_field is not null"), "doc_uid", "uid").select("article_uid", "doc_uid")
+    return rel.with_parent(articles(spark, sf, "doc_uid"), read(spark, sf, "legal_docs").filter("legal_field is not null"), "doc_uid", "uid").select("article_uid", "doc_uid")
 
 
 @query("SELECT DISTINCT uid FROM court_cases WHERE uid NOT IN (SELECT refer_uid FROM bench_items WHERE refer_uid IS NOT NULL)")
@@ -272,7 +275,8 @@ _CORE = f"""(SELECT * FROM (SELECT *, try_cast(regexp_extract({STRIP('article_nu
 
 @query(f"SELECT article_uid, doc_uid, article_number FROM {_CORE}")
 def core_articles(spark, sf):
-    return rel.core_articles(articles(spark, sf), 4, 1).select("article_uid", "doc_uid", "article_number")
+    a = articles(spark, sf, "doc_uid", "article_number", rel.long_enough().alias("long"))
+    return rel.core_articles(a, 4, 1, F.col("long")).select("article_uid", "doc_uid", "article_number")
 
 
 @query(
@@ -289,7 +293,7 @@ def random_topk(spark, sf):
 
 @query(f"SELECT article_uid, doc_uid FROM (SELECT *, row_number() OVER (PARTITION BY doc_uid ORDER BY article_number, article_uid) AS r FROM {ONE_ARTICLE}) WHERE r <= 5")
 def per_doc_top5(spark, sf):
-    return rel.per_group(articles(spark, sf), "doc_uid", [F.col("article_number"), F.col("article_uid")], 5).select("article_uid", "doc_uid")
+    return rel.per_group(articles(spark, sf, "doc_uid", "article_number"), "doc_uid", [F.col("article_number"), F.col("article_uid")], 5).select("article_uid", "doc_uid")
 
 
 @query(
@@ -298,7 +302,7 @@ def per_doc_top5(spark, sf):
     FROM a t JOIN a ON t.doc_uid = a.doc_uid AND t.article_uid <> a.article_uid) WHERE r <= 3"""
 )
 def neighbor_topk(spark, sf):
-    a = articles(spark, sf)
+    a = articles(spark, sf, "doc_uid", "article_number")
     return rel.neighbours(a, a, 3)
 
 
@@ -351,7 +355,7 @@ def ref_completeness(spark, sf):
 
 @query("SELECT legal_field, count(*) AS n, list_sort(list(DISTINCT doc_uid)) AS doc_uids FROM (SELECT DISTINCT a.article_uid, a.doc_uid, d.legal_field FROM legal_articles a JOIN legal_docs d ON d.uid = a.doc_uid WHERE trim(coalesce(d.legal_field, '')) <> '' AND lower(d.legal_field) NOT IN ('đang cập nhật', 'không xác định', 'none')) GROUP BY 1")
 def articles_by_field(spark, sf):
-    rows = generators.with_docs(articles(spark, sf).select("article_uid", "doc_uid").distinct(), docs(spark, sf, "legal_field")).withColumn("legal_field", text.clean_field("d_legal_field")).filter("legal_field is not null")
+    rows = generators.with_docs(articles(spark, sf, "doc_uid"), docs(spark, sf, "legal_field")).withColumn("legal_field", text.clean_field("d_legal_field")).filter("legal_field is not null")
     return rows.groupBy("legal_field").agg(F.count("*").alias("n"), F.sort_array(F.collect_set("doc_uid")).alias("doc_uids"))
 
 

@@ -8,15 +8,13 @@ from pyspark.sql import functions as F
 from vanquarry.functions import dates, ids, text
 from vanquarry.operators import cases, documents, generators, html, scoring
 from vanquarry.operators import relational as rel
-from vanquarry.plans.catalogue import _CORE, LOOSE, MATCH, ONE_ARTICLE, ONE_CASE, ONE_DOC, SPACES, STRIP, TYPED_DOC, articles, docs, one_case, query, responses, typed_docs
+from vanquarry.plans.catalogue import _CORE, ONE_ARTICLE, ONE_CASE, ONE_DOC, SPACES, STRIP, TYPED_DOC, articles, docs, one_case, query, typed_docs
 from vanquarry.sources.tables import read
 
-_ = (LOOSE, MATCH, responses)
-
 
 # --- identifiers and texts -----------------------------------------------------------------------------------------------
 @query(
-    """SELECT uid, regexp_replace(upper(replace(n, 'đ', 'Đ')), 'X', 'X') AS raw, [regexp_replace(replace(upper(n), 'Đ', 'D'), '[^A-Z0-9]', '', 'g')] AS found, regexp_extract(n, '^([0-9]+)/([0-9]{4})/', 1) || '/' || regexp_extract(n, '^([0-9]+)/([0-9]{4})/', 2) AS stem
+    """SELECT uid, upper(replace(n, 'đ', 'Đ')) AS raw, [regexp_replace(replace(upper(n), 'Đ', 'D'), '[^A-Z0-9]', '', 'g')] AS found, regexp_extract(n, '^([0-9]+)/([0-9]{4})/', 1) || '/' || regexp_extract(n, '^([0-9]+)/([0-9]{4})/', 2) AS stem
     FROM (SELECT uid, any_value(doc_id) n FROM legal_docs GROUP BY uid) WHERE regexp_matches(n, '^[0-9]{1,4}/[0-9]{4}/[A-ZĐa-z0-9-]+$')"""
 )
 def number_search(spark, sf):
@@ -110,8 +108,7 @@ def html_links(spark, sf):
     f"""SELECT uid, CASE WHEN trim(coalesce(signer, '')) <> '' THEN 'doc' WHEN length(title) >= 60 THEN 'pdf' WHEN length(raw_text) >= 60 THEN 'html' END AS source, length(raw_text) >= 3000 AS long_enough FROM {ONE_DOC}"""
 )
 def text_source(spark, sf):
-    d = docs(spark, sf, "signer", "title", "raw_text")
-    return d.select("uid", html.body_text(F.col("signer"), F.col("title"), F.col("raw_text"), 60)["format"].alias("source"), html.case_text(F.col("raw_text"), F.lit(None).cast("string"), 3000).isNotNull().alias("long_enough"))
+    return docs(spark, sf, html.body_text(F.col("signer"), F.col("title"), F.col("raw_text"), 60)["format"].alias("source"), html.case_text(F.col("raw_text"), F.lit(None).cast("string"), 3000).isNotNull().alias("long_enough"))
 
 
 # --- refinement ----------------------------------------------------------------------------------------------------------
