@@ -50,7 +50,7 @@ def variants(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     rows = df.filter("value is not null").select("field_name", "item_id", "value")
     words = cut(rows.mapInPandas(_words, "field_name string, item_id string, word string").distinct())  # used three times
-    vocabulary = words.select("word").distinct().withColumn("mapped", _fold("word"))
+    vocabulary = cut(words.select("word").distinct().withColumn("mapped", _fold("word")))  # used twice
     classes = spark.sql(
         """
         SELECT key, min(member) AS canonical
