@@ -5,7 +5,7 @@ that is sets of lengths that fit into one container. The linear program over all
 containers, is solved by multiplicative weights: lengths not yet covered weigh more; the configuration of the greatest weight
 is priced by knapsack dynamic programming. The fractional counts are rounded down, and what is left is filled by further
 configurations, priced the same way with the lengths themselves as weights. As the histogram has at most UNITS
-entries however many items there are, this runs on the driver; the items are then numbered within their length in salted
+entries however many items there are, each container's program is one task; the items are then numbered within their length in salted
 groups and meet their containers by arithmetic.
 
 Defined results: an item is split only if it alone exceeds the capacity, into full containers and a rest; null texts are no
@@ -109,8 +109,8 @@ def plan(histogram: dict[int, int], capacity: int, rounds: int = ROUNDS, rate: f
         use[tuple(sorted(found.items()))] += amount
         for i, n in found.items():
             coverage[i] += amount * n / counts[i]
-    # rounding: of the configurations, those at least so full (2: none), in order of their counts; the best division is kept
-    return min((_round(sizes, counts, capacity, use, least) for least in (0.0, 0.99, 0.998, 1.0, 2.0)), key=lambda p: sum(t for t, _ in p))
+    # rounding: of the configurations, those at least so full, in order of their counts; the best division is kept
+    return min((_round(sizes, counts, capacity, use, least) for least in (0.0, 0.99, 0.998, 1.0)), key=lambda p: sum(t for t, _ in p))
 
 
 def _round(sizes: np.ndarray, counts: np.ndarray, capacity: int, use: Counter, least: float) -> list[tuple[int, dict[int, int]]]:
@@ -156,6 +156,32 @@ def items(counts: DataFrame, windows: list[tuple[str, int]]) -> DataFrame:
     return out.withColumn("start_token", F.col("piece_no") * F.col("capacity"))
 
 
+def solve(spark: SparkSession, histogram: list, windows: list[tuple[str, int]]) -> DataFrame:
+    """(window_name, length, ends, first, n): of each length the containers with n items of it from number first on, up to the item number in ends; one task per window. Lengths and configurations are bounded by UNITS and ROUNDS."""
+    of: dict[str, list] = {name: [] for name, _ in windows}
+    for r in histogram:
+        of[r["window_name"]].append((r["length"], r["n"]))
+    rows = [(name, capacity // -(-capacity // UNITS), [x for x, _ in of[name]], [n for _, n in of[name]]) for name, capacity in windows]
+
+    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            out = []
+            for name, room, lengths, ns in zip(b["window_name"], b["room"], b["lengths"], b["ns"]):
+                table: dict[int, list] = {}
+                first = 0
+                for times, found in plan(dict(zip(map(int, lengths), map(int, ns))), int(room)):
+                    for length, n in found.items():
+                        table.setdefault(length, []).append((times * n, first, n))
+                    first += times
+                for length, parts in table.items():
+                    a = np.array(parts, np.int64)
+                    out.append((name, length, np.cumsum(a[:, 0]), a[:, 1], a[:, 2]))
+            yield pd.DataFrame(out, columns=["window_name", "length", "ends", "first", "n"])
+
+    df = spark.createDataFrame(rows, "window_name string, room bigint, lengths array<bigint>, ns array<bigint>").repartition(len(rows))
+    return df.mapInPandas(work, "window_name string, length int, ends array<bigint>, first array<bigint>, n array<bigint>")
+
+
 def fill(counts: DataFrame, windows: list[tuple[str, int]]) -> DataFrame:
     """(window_name, window_no, doc_id, piece_no, start_token, n_tokens) of counts(doc_id, n_tokens)."""
     if any(c < 1 for _, c in windows):
@@ -166,17 +192,7 @@ def fill(counts: DataFrame, windows: list[tuple[str, int]]) -> DataFrame:
         return spark.createDataFrame([], schema)
     pieces = items(counts, windows)
     histogram = small_rows(pieces.groupBy("window_name", "length").agg(F.count("*").alias("n")), (UNITS + 1) * len(windows))
-    slots: dict[tuple[str, int], tuple] = {}
-    for name, capacity in windows:
-        table: dict[int, list] = {}
-        first = 0
-        for times, found in plan({r["length"]: r["n"] for r in histogram if r["window_name"] == name}, capacity // -(-capacity // UNITS)):
-            for length, n in found.items():
-                table.setdefault(length, []).append((times * n, first, n))
-            first += times
-        for length, rows in table.items():
-            a = np.array(rows, np.int64)
-            slots[name, length] = (np.cumsum(a[:, 0]), a[:, 1], a[:, 2])
+    slots = {(r["window_name"], r["length"]): tuple(np.array(r[c], np.int64) for c in ("ends", "first", "n")) for r in solve(spark, histogram, windows).collect()}
     sent = spark.sparkContext.broadcast(slots)
     total = sum(r["n"] for r in histogram)
     salts = max(8, total // GROUP)
@@ -212,9 +228,9 @@ def p7_windows(spark: SparkSession, sf: str, tokenizer: str = TOKENIZER) -> Data
 
 
 def p7_report(spark: SparkSession, sf: str, tokenizer: str = TOKENIZER) -> DataFrame:
-    """(window_name, windows, items, tokens, filled): how many windows each capacity takes, and the share of their room that is used."""
+    """(window_name, windows, items, tokens, filled, bound): how many windows each capacity takes, the share of their room that is used, and the windows that the tokens alone need, below which nothing can go."""
     size = dict(windows_of(spark, sf))
     names = F.create_map(*[F.lit(x) for kv in size.items() for x in kv])
     return p7_windows(spark, sf, tokenizer).groupBy("window_name").agg(
         F.countDistinct("window_no").alias("windows"), F.count("*").alias("items"), F.sum("n_tokens").alias("tokens")
-    ).withColumn("filled", F.round(F.col("tokens") / (F.col("windows") * names[F.col("window_name")]), 4))
+    ).withColumn("filled", F.round(F.col("tokens") / (F.col("windows") * names[F.col("window_name")]), 4)).withColumn("bound", F.ceil(F.col("tokens") / names[F.col("window_name")]))
