@@ -1,8 +1,10 @@
 """Brute force on small fixtures, defined results for odd input."""
 
+import itertools
 import random
 import unicodedata
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -43,6 +45,14 @@ def test_variants(spark):
     assert p1.variants(df.limit(0)).count() == 0
 
 
+def test_a_class_of_several_mapped_words_has_one_member(spark):
+    """Control characters aren't touched by the form, but ignored by the collation: the mapped words differ, the class is one."""
+    rows = [("f", "1", "Đіều"), ("f", "2", "Đіề\x07u"), ("f", "3", "ĐIỀＵ")]
+    got = {tuple(r) for r in p1.variants(spark.createDataFrame(rows, FIELD)).collect()}
+    canonical = {r[1]: r[3] for r in got}
+    assert canonical["1"] == canonical["2"] and canonical["3"] == "ĐIỀU"
+
+
 def test_p1_found_is_what_differs(spark, sf):
     want = set()
     for r in p1.values(spark, sf).collect():
@@ -86,6 +96,52 @@ def test_noise_kinds():
     assert READER.noise(head + "đượ̣c hưởng​", title, n) == []
 
 
+@pytest.mark.parametrize(
+    ("seen", "meant"),
+    [("theo quy đ ịnh của", "theo quy định của"), ("theo quyđịnh của", "theo quy định của"), ("ph áp lu ật không", "pháp luật không"), ("theo quy đị\nnh của", "theo quy định của"), ("th eo quyđịnli của", "theo quy định của"), ("tỉnh ở Manila theo", "tỉnh ở Manila theo"), ("năm 12O/2O17 theo", "năm 120/2017 theo")],
+)
+def test_torn_and_joined_words(seen, meant):
+    assert READER.repair(seen, None, None) == meant
+
+
+def test_nothing_is_passed_over_for_its_place_or_length():
+    subject = "thẩm định hồ sơ chung cư " * 12
+    head = "\n".join(f"dòng mở đầu {'abcdeghik'[i % 9]}" for i in range(60))
+    body = "người lao động được hưởng\n" + subject.strip().upper() + "\ntheo quy định"
+    assert READER.noise(f"{head}\nV/v {subject.strip()}\n\n{body}", None, None) == ["page_furniture"]
+    number = p2._number(None, None, "tòa án " * 2000 + "số 12/2020/HS-ST")
+    assert number == "12/2020/HS-ST"
+    assert p2.paragraphs([f"dòng {i} không có dấu chấm và" for i in range(1500)]).count("\n") == 0
+    assert LEXICON.decode("l-\nii-\nê-\nn-\nh")[0]  # any number of operations in a word
+
+
+def test_paragraphs_are_the_division_of_least_cost():
+    """Against all divisions of a few lines, with the costs said again."""
+    rng = random.Random(8)
+    for _ in range(60):
+        lines = [rng.choice(["Một hai ba bốn.", "năm sáu bảy tám chín mười", "TIÊU ĐỀ", "- mục một;", "chín mười"]) for _ in range(rng.randrange(1, 7))]
+        width = np.percentile([len(x) for x in lines], 90)
+
+        def cost(i, j, lines=lines, width=width):
+            total = 0.3
+            for k in range(i, j):
+                x, y = lines[k], lines[k + 1] if k + 1 < len(lines) else ""
+                ends, opens = x[-1] in ".;:!?)”\"" or x.isupper(), not y or y[0].isupper() or y[0] in "-+*[(“"
+                if k == j - 1:
+                    total += 0 if ends else 2.0 if opens else 6.0
+                else:
+                    total += (3.0 if ends and opens and len(x) < 0.75 * width else 0.6 if ends and opens else 0.2) + (4.0 if x.isupper() or y.isupper() else 0)
+            return total
+
+        n = len(lines)
+        all_ = []
+        for cuts in itertools.chain.from_iterable(itertools.combinations(range(1, n), k) for k in range(n)):
+            edges = [0, *cuts, n]
+            all_.append((sum(cost(a, b) for a, b in itertools.pairwise(edges)), "\n\n".join(" ".join(lines[a:b]) for a, b in itertools.pairwise(edges))))
+        got = p2.paragraphs(lines)
+        assert min(c for c, t in all_ if t == got) <= min(all_)[0] + 1e-9
+
+
 def test_repair_round_trip():
     want = "Người lao động được hưởng theo quy định của pháp luật. Không hoàn trả kinh phí thẩm định hồ sơ trong năm chung cư phải thông báo khi nhận."
     noisy = "Người lao động đu'ợc hưởng the-\no quy địnli của pháp luật. Không\n- 3 -\nhoàn trả kinh phí thẩm định hồ sơ tro¬\nng năm chung cư phải thông báo khi nhận."

@@ -1,10 +1,12 @@
 """Noise in text from scanned pages.
 
 Method: windows of the text around suspect places, with line ends as characters, are decoded jointly (Viterbi) into words of a
-lexicon: a word may be read across a mark and a line end (hyphen), across a space (merge), end without a space (split), or
-with misread characters (confusion), each at a cost; words cost by their frequency. The lexicon holds the syllables that the
+lexicon: a word may be read across a mark and a line end (hyphen), across a space or a line end alone (merge), end without a
+space (split), or with misread characters (confusion; digits too), each at a cost; words cost by their frequency. Suspect are
+words broken with a mark, tokens with odd characters, neighbours that together make a likelier word than apart, and tokens
+that are no word but two or more. The lexicon holds the syllables that the
 rules of Vietnamese spelling allow, which bounds it, with their counts over all texts. Lines that hold only a page number or a
-running header (the document's own title again) are removed. Paragraph boundaries of what remains are chosen by dynamic
+running header (the document's own title again) are removed; these are told by rules. Paragraph boundaries of what remains are chosen by dynamic
 programming over the lines.
 
 Defined results: null and empty texts and null uids give no rows; rows with the same uid count once; texts without noise are in
@@ -38,7 +40,7 @@ CONFUSIONS = (
     ("li", "h"), ("1i", "h"), ("|i", "h"), ("l1", "h"), ("l!", "h"), ("|1", "h"), ("ii", "n"), ("1i", "n"), ("i1", "n"), ("!i", "n"), ("i!", "n"), ("rn", "m"), ("cl", "d"), ("vv", "w"),
     ("1", "i"), ("1", "l"), ("!", "i"), ("|", "l"), ("|", "i"), ("0", "o"), ("@", "a"), ("€", "e"), ("+", "t"), ("9", "g"), ("6", "b"), ("5", "s"), ("$", "s"), ("(", "c"), ("u'", "ư"), ("o'", "ơ"), ("u’", "ư"), ("o’", "ơ"),
 )
-COST_CONFUSION, COST_HYPHEN, COST_MERGE, COST_SPLIT, COST_UNKNOWN, COST_LITERAL_BREAK = 3.0, 0.5, 9.0, 9.0, 16.0, 6.0
+COST_CONFUSION, COST_HYPHEN, COST_MERGE, COST_SPLIT, COST_UNKNOWN, COST_LITERAL_BREAK = 3.0, 0.5, 9.0, 7.0, 16.0, 6.0
 _TONE = {"̀", "́", "̉", "̃", "̣"}
 _SYLLABLE = re.compile("(" + "|".join(sorted(ONSETS, key=len, reverse=True)) + ")?(.+)")
 _BREAK = regex.compile(r"(?<=\p{L})[-¬‐][ \t\r]*\n[ \t\r]*(?=\p{L})")
@@ -47,11 +49,16 @@ _HEAD = re.compile(r"(?:[^\W\d_]+\s+){0,4}([\dOIl]+/[\dOIl]{4}/[^\s;,.()]+)\s+\d
 _MARKS = {"-", "¬", "‐"}
 _ODD = re.compile(r"[1!90@€+(|'’65$]|ii|rn|li|cl|vv")
 _EDGE = "\"“”.,;:?)[]…«»<>–—-"
+_AFTER = _EDGE.rstrip("-")
 _NUMBER = re.compile(r"(?<![^\W\d_])\d+[OolI](?=[\d.,/;:)\s]|$)|(?<=\d[./,])[OolI]+\d")
+_DIGITS = re.compile(r"[\dOolI]+")
+_AS_DIGITS = str.maketrans("OolI", "0011")
 _LABEL = re.compile(r"\d+[a-zđ]\W*")
 PAGE = re.compile(r"\s*(?:[-—–]\s*\d{1,4}\s*[-—–]|(?:trang|page)\s+\d{1,4}(?:\s*/\s*\d{1,4})?|tr\.\s*\d{1,4}|\[\s*\d{1,4}\s*\]|\d{1,4}(?:\s*/\s*\d{1,4})?)\s*", re.I)
 _DOC_NUMBER = re.compile(r"[\dOIl]+/[\dOIl]{4}/[^\s;,.()]+")
-_LETTERS = regex.compile(r"[^\W_]+")
+_LETTERS = re.compile(r"[^\W_]+")
+_TOKEN = re.compile(r"\S+")
+_UNIT = re.compile(r"[^\W_]+|[^\s]")
 
 
 @functools.lru_cache(1 << 16)
@@ -101,8 +108,8 @@ class Lexicon:
             j, node, word, cost, ops = stack.pop()
             if "" in node:
                 split = j < len(s) and s[j].isalpha()
-                yield j, word, cost + node[""] + (COST_SPLIT if split else 0), ops + (("split",) if split else ())
-            if j >= len(s) or len(ops) > 4:
+                yield j, word + (" " if split else ""), cost + node[""] + (COST_SPLIT if split else 0), ops + (("split",) if split else ())
+            if j >= len(s):
                 continue
             c = s[j].lower()
             if c in node and c:
@@ -118,9 +125,29 @@ class Lexicon:
                 b = _BREAK.match(s, j)
                 if b:
                     stack.append((b.end(), node, word, cost + COST_HYPHEN, ops + ("hyphen",)))
-                elif c == " " and j + 1 < len(s) and s[j + 1].isalpha():
+                elif c in " \n" and j + 1 < len(s) and s[j + 1].isalpha():
                     stack.append((j + 1, node, word, cost + COST_MERGE, ops + ("merge",)))
 
+    def literal(self, word: str) -> float:
+        """The cost of a word as it stands: of a known one by its frequency, else by its length."""
+        known = self.cost.get(word.lower())
+        if known is not None:
+            return known
+        return 4.0 if word.isdigit() or not word.isalnum() or (word.isupper() and len(word) < 6) else max(COST_UNKNOWN, 3.0 + 3.0 * len(word) if word.isalpha() else 0)
+
+    def apart(self, a: str, b: str) -> bool:
+        """Whether two neighbouring tokens are likelier one word torn apart."""
+        x, y = a.lstrip(_EDGE), b.rstrip(_AFTER)
+        if not (x.isalpha() and y.isalpha()) or x.isupper() != y.isupper() and len(x) > 1 or y[0].isupper() and not x.isupper():
+            return False
+        one = self.cost.get((x + y).lower())
+        return one is not None and one + COST_MERGE < self.literal(x) + self.literal(y)
+
+    def glued(self, token: str) -> bool:
+        """Whether a token is likelier two or more words run together."""
+        core = token.strip(_EDGE)
+        return len(core) > 3 and core.isalpha() and not core.isupper() and core.lower() not in self.cost and self.decode(core)[1]["split"] > 0
+
     def decode(self, s: str) -> tuple[str, Counter]:
         """The best reading of s and the operations that it takes."""
         n = len(s)
@@ -138,12 +165,14 @@ class Lexicon:
             if c.isspace() or not (c.isalnum() or _ODD.match(c)):
                 put(i + 1, base, i, c, ())
                 continue
-            m = re.compile(r"[^\W_]+|[^\s]").match(s, i)
+            m = _UNIT.match(s, i)
             word = m.group()
-            known = self.cost.get(word.lower())
-            literal = known if known is not None else 4.0 if word.isdigit() or not word.isalnum() or (word.isupper() and len(word) < 6) else COST_UNKNOWN
+            literal = self.literal(word)
             glued = i > 0 and s[i - 1].isalnum() or m.end() < n and (s[m.end()] in "@€+|" or s[m.end()] in "'’!(" and m.end() + 1 < n and s[m.end() + 1].isalpha())
             put(m.end(), base + literal + (COST_LITERAL_BREAK if _BREAK.match(s, m.end()) or glued else 0), i, word, ())
+            number = _DIGITS.match(s, i) if start else None
+            if number and _NUMBER.search(s[max(0, i - 2) : number.end() + 1]):
+                put(number.end(), base + COST_CONFUSION, i, number.group().translate(_AS_DIGITS), ("confusion",))
             if start or s[i - 1].isalpha():
                 for j, w, cost, ops in self.reads(s, i):
                     put(j, base + cost, i, w, ops)
@@ -158,6 +187,8 @@ class Lexicon:
 
 def suspect(token: str) -> bool:
     """Whether a token may hold misread characters: it has some of them and isn't well spelt as it stands."""
+    if _NUMBER.search(token):
+        return True
     if not _ODD.search(token) and not _ODD.search(token.lower()):
         return False
     core = token.strip(_EDGE)
@@ -169,19 +200,26 @@ def suspect(token: str) -> bool:
         return not (core.isupper() and len(core) < 5)
     bare = core.strip("!('’+")
     if is_syllable(bare.lower()) and core[:1] not in "@€+" and core[-1:] in "!('’":
-        return core[-1:] == "!" and False
+        return False
     return letters >= 2 and not re.fullmatch(r"[A-ZĐ]+\d+|\d+[A-ZĐ]+\d*|.*\d[-/.].*|.*[-/]\d.*|[A-ZĐ]*\d+[A-ZĐ]?[-./].*", core)
 
 
 _SUSPECT = Memo(suspect)
 
 
+def _letters(w: str) -> str:
+    """A token in lower case if it has letters only, else nothing."""
+    return w.lower() if w.isalpha() else ""
+
+
 class Reader:
     """Finds and repairs noise, with a lexicon."""
 
     def __init__(self, lexicon: Lexicon):
         self.lexicon = lexicon
         self.tokens = Memo(lambda w: lexicon.decode(w)[1]["confusion"] > 0, 200_000)
+        self.left, self.right = Memo(lambda w: _letters(w.lstrip(_EDGE))), Memo(lambda w: _letters(w.rstrip(_AFTER)))
+        self.run_together = Memo(lexicon.glued, 200_000)
         self.breaks = Memo(lambda w: lexicon.decode(w)[1]["hyphen"] > 0, 100_000)
 
     def window(self, t: str, i: int, j: int) -> tuple[int, int]:
@@ -202,11 +240,22 @@ class Reader:
         for w in set(t.split()):
             if _SUSPECT[w] and self.tokens[w]:
                 return True
-        return bool(_NUMBER.search(t))
+        return False
+
+    def spaced(self, t: str) -> Iterator[tuple[int, int]]:
+        """Where words are torn apart by a space or a line end, or run together."""
+        tokens, cost = t.split(), self.lexicon.cost
+        left, right = [self.left[w] for w in tokens], [self.right[w] for w in tokens[1:]]
+        torn = [i for i, (a, b) in enumerate(zip(left, right)) if a and b and a + b in cost and self.lexicon.apart(tokens[i], tokens[i + 1])]
+        joined = [i for i, w in enumerate(tokens) if self.run_together[w]]
+        if torn or joined:
+            at = [m.span() for m in _TOKEN.finditer(t)]
+            yield from ((at[i][0], at[i + 1][1]) for i in torn if at[i + 1][0] - at[i][1] == 1)
+            yield from (at[i] for i in joined)
 
     def furniture(self, lines: list[str], title: str | None, number: str | None) -> set[int]:
         """Indices of the lines that hold only a page number or a running header."""
-        pages = {i for i, x in enumerate(lines) if x and len(x) < 24 and PAGE.fullmatch(x)}
+        pages = {i for i, x in enumerate(lines) if x and PAGE.fullmatch(x)}
         out = set(pages)
         subject = subject_words(lines, title)
         if len(subject) < 3:
@@ -214,7 +263,7 @@ class Reader:
         own, joined = (number or "").replace("O", "0").lower(), "".join(subject)
         first = subject[0]
         for i, x in enumerate(lines):
-            if len(x) > 160 or len(x) < 8 or i in pages:
+            if i in pages:
                 continue
             low = x.lower()
             if first[:2] not in low and not (own and own[-6:] in low):
@@ -238,7 +287,7 @@ class Reader:
     def between(self, t: str, lines: list[str], number: str | None, skip: np.ndarray | None) -> set[int]:
         """Indices of further lines that may stand between the halves of a broken word: those of the site, whose wordings are in skip, and the document's number with a page."""
         own = (number or "").replace("O", "0").rstrip(").").lower()
-        out = {i for i, x in enumerate(lines) if own and len(x) < 60 and (m := _HEAD.fullmatch(x)) and m.group(1).replace("O", "0").lower() == own}
+        out = {i for i, x in enumerate(lines) if own and "/" in x and (m := _HEAD.fullmatch(x)) and m.group(1).replace("O", "0").lower() == own}
         if skip is not None and len(skip):
             scan = p5.Scan(t)
             out.update(np.flatnonzero(np.isin(scan.wording, skip) & (scan.upto > scan.first)).tolist())
@@ -266,14 +315,16 @@ class Reader:
         lines = [x.strip() for x in consistent(text).split("\n")]
         drop = self.furniture(lines, title, number)
         t = "\n".join(x for i, x in enumerate(lines) if i not in drop)
-        spans = sorted({*self.broken(t), *((m.start(), m.end()) for m in re.finditer(r"\S+", t) if _SUSPECT[m.group()] and self.tokens[m.group()])})
-        out, at = [], 0
-        for i, j in spans:
-            if i >= at:
-                out += [t[at:i], self.lexicon.decode(t[i:j])[0]]
-                at = j
+        spans = sorted({*self.broken(t), *self.spaced(t), *(m.span() for m in _TOKEN.finditer(t) if _SUSPECT[m.group()] and self.tokens[m.group()])})
+        out, at, k = [], 0, 0
+        while k < len(spans):
+            i, j = spans[k]
+            while k + 1 < len(spans) and spans[k + 1][0] <= j + 1:
+                k += 1
+                j = max(j, spans[k][1])
+            out += [t[at:i], self.lexicon.decode(t[i:j])[0]]
+            at, k = j, k + 1
         t = "".join(out) + t[at:]
-        t = _NUMBER.sub(lambda m: m.group().replace("O", "0").replace("o", "0").replace("l", "1").replace("I", "1"), t)
         return paragraphs(t.split("\n"))
 
 
@@ -283,7 +334,7 @@ def _close(a: str, b: str) -> bool:
         return True
     from difflib import SequenceMatcher
 
-    return len(a) > 10 and SequenceMatcher(None, a, b, autojunk=False).ratio() >= 0.85
+    return len(a) > 10 and len(b) > 0.7 * len(a) and SequenceMatcher(None, a, b, autojunk=False).ratio() >= 0.85
 
 
 def subject_words(lines: list[str], title: str | None) -> list[str]:
@@ -295,10 +346,10 @@ def subject_words(lines: list[str], title: str | None) -> list[str]:
         rest = matter.group(1) if matter else rest
         if rest.strip():
             return _LETTERS.findall(rest.lower())
-    for i, x in enumerate(lines[:40]):
+    for i, x in enumerate(lines):
         if x[:3].lower() == "v/v":
             full = x[3:]
-            for y in lines[i + 1 : i + 4]:
+            for y in lines[i + 1 :]:
                 if y.isupper() or not y:
                     break
                 full = full[:-1] + y if full[-1:] in "-¬" else full + " " + y
@@ -315,24 +366,20 @@ def paragraphs(lines: list[str]) -> str:
     lines = [x.strip() for x in lines]
     width = np.percentile([len(x) for x in lines if x] or [1], 90)
     n = len(lines)
+    # a paragraph's cost is a sum over its lines, so that one open at a line needs only its beginning and its cost so far
     best, back = [0.0] + [np.inf] * n, [0] * (n + 1)
-    for i in range(n):
-        if not lines[i]:
-            if best[i] < best[i + 1]:
-                best[i + 1], back[i + 1] = best[i], i
+    cost, begin = np.inf, 0
+    for j, x in enumerate(lines):
+        if not x:
+            best[j + 1], back[j + 1], cost = best[j], j, np.inf
             continue
-        cost = best[i] + 0.3
-        for j in range(i, n):
-            x = lines[j]
-            ends = x[-1:] in tuple(".;:!?)”\"") or x.isupper()
-            following = lines[j + 1] if j + 1 < n else ""
-            opens = not following or following[0].isupper() or following[0].isdigit() or following[0] in "-+*[(“"
-            last = cost + (0 if ends else 2.0 if opens else 6.0)
-            if last < best[j + 1]:
-                best[j + 1], back[j + 1] = last, i
-            if not following or j - i > 400:
-                break
-            cost += (3.0 if ends and opens and len(x) < 0.75 * width else 0.6 if ends and opens else 0.2) + (4.0 if x.isupper() or following.isupper() else 0)
+        if best[j] + 0.3 < cost:
+            cost, begin = best[j] + 0.3, j
+        ends = x[-1:] in tuple(".;:!?)”\"") or x.isupper()
+        following = lines[j + 1] if j + 1 < n else ""
+        opens = not following or following[0].isupper() or following[0].isdigit() or following[0] in "-+*[(“"
+        best[j + 1], back[j + 1] = cost + (0 if ends else 2.0 if opens else 6.0), begin
+        cost += (3.0 if ends and opens and len(x) < 0.75 * width else 0.6 if ends and opens else 0.2) + (4.0 if x.isupper() or following.isupper() else 0)
     out, j = [], n
     while j:
         i = back[j]
@@ -374,7 +421,7 @@ def _number(number: str | None, title: str | None, text: str) -> str | None:
     m = _DOC_NUMBER.search(consistent(title)) if title else None
     if m:
         return m.group()
-    return consistent(number) if number else (m.group() if (m := _DOC_NUMBER.search(consistent(text[:3000]))) else None)
+    return consistent(number) if number else (m.group() if (m := _DOC_NUMBER.search(consistent(text))) else None)
 
 
 def noise(rows: DataFrame, broadcast_limit: int = 200_000) -> DataFrame:
@@ -403,7 +450,7 @@ def noise(rows: DataFrame, broadcast_limit: int = 200_000) -> DataFrame:
 
 
 def repaired(rows: DataFrame) -> DataFrame:
-    """(table_name, uid, raw_text, noise_kinds): each uid's text, repaired into continuous paragraphs if it has noise, else as it is."""
+    """(table_name, uid, raw_text, noise_kinds): each uid's text, repaired into continuous paragraphs if it has noise, else as it is; besides those of `noise` there is the kind word_space, for words torn apart or run together."""
     rows = rows.filter("uid is not null and raw_text is not null").select("table_name", "uid", "title", "number", "raw_text")
     sent = rows.sparkSession.sparkContext.broadcast(lexicon(rows))
 
@@ -414,6 +461,8 @@ def repaired(rows: DataFrame) -> DataFrame:
             for t, u, title, number, text in zip(b["table_name"], b["uid"], b["title"], b["number"], b["raw_text"]):
                 title, number = title and consistent(title), _number(number, title, text)
                 kinds = reader.noise(text, title, number)
+                if next(reader.spaced(consistent(text)), None):
+                    kinds.append("word_space")
                 out.append((t, u, reader.repair(text, title, number) if kinds else text, kinds))
             yield pd.DataFrame(out, columns=["table_name", "uid", "raw_text", "noise_kinds"])
 
