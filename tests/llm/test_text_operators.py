@@ -90,6 +90,10 @@ def test_noise_kinds():
     assert READER.noise(head + "năm 2O20", title, n) == ["wrong_char"]
     assert READER.noise(head + "người lao động\n- 2 -\nđược hưởng", title, n) == ["page_furniture"]
     assert READER.noise(head + "người lao động\nQuyết định 12/2020/QĐ-UBND. thẩm định hồ sơ ch...\nđược hưởng", title, n) == ["page_furniture"]
+    for line in ("Quyết định 12/2020/QĐ-UBND   5", "2 | Quyết định 12/2O20/QĐ-UBND", "12/2020/QĐ-UBND - 7"):
+        assert READER.noise(head + f"người lao động\n{line}\nđược hưởng", None, n)[-1:] == ["page_furniture"]
+    for line in ("Quyết định 12/2020/QĐ-UBND", "theo 15/2020/QĐ-UBND 5", "Quyết định 12/2020/QĐ-UBND năm 5"):
+        assert READER.noise(head + f"người lao động\n{line}\nđược hưởng", None, n) == []
     changed = "Quyết định 12/2020/QĐ-UBND sửa đổi quy định về việc thẩm định hồ sơ chung cư"
     assert READER.noise(head + "người lao động\nTHẨM ĐỊNH HỒ SƠ CHUNG CƯ\nđược hưởng", changed, n) == ["page_furniture"]
     assert READER.noise(head + "Điều 1a. mã LST2-4, xe 63C-217.62, 5 m2, bạn thấy hữu ích?", title, n) == []

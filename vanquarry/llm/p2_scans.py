@@ -45,7 +45,7 @@ _TONE = {"̀", "́", "̉", "̃", "̣"}
 _SYLLABLE = re.compile("(" + "|".join(sorted(ONSETS, key=len, reverse=True)) + ")?(.+)")
 _BREAK = regex.compile(r"(?<=\p{L})[-¬‐][ \t\r]*\n[ \t\r]*(?=\p{L})")
 _MARK_END = regex.compile(r"\p{L}[-¬‐][ \t\r]*\n")
-_HEAD = re.compile(r"(?:[^\W\d_]+\s+){0,4}([\dOIl]+/[\dOIl]{4}/[^\s;,.()]+)\s+\d{1,4}")
+_HEAD = re.compile(r"(?:(?P<before>\d{1,4})\s*[|–—·-]\s*)?(?:[^\W\d_]\S*\s+){0,4}(?P<number>[\dOIl]+/[\dOIl]{4}/[^\s;,.()|]+)(?:\s*[|–—·-]\s*(?P<after>\d{1,4})|\s+(?P<apart>\d{1,4}))?")
 _MARKS = {"-", "¬", "‐"}
 _ODD = re.compile(r"[1!90@€+(|'’65$]|ii|rn|li|cl|vv")
 _EDGE = "\"“”.,;:?)[]…«»<>–—-"
@@ -256,20 +256,22 @@ class Reader:
     def furniture(self, lines: list[str], title: str | None, number: str | None) -> set[int]:
         """Indices of the lines that hold only a page number or a running header."""
         pages = {i for i, x in enumerate(lines) if x and PAGE.fullmatch(x)}
-        out = set(pages)
+        own = _number_form(number)
+        # the document's kind and number with a page number
+        out = pages | {i for i, x in enumerate(lines) if own and "/" in x and (m := _HEAD.fullmatch(x)) and (m["before"] or m["after"] or m["apart"]) and _number_form(m["number"]) == own}
         subject = subject_words(lines, title)
         if len(subject) < 3:
             return out
-        own, joined = (number or "").replace("O", "0").lower(), "".join(subject)
+        joined = "".join(subject)
         first = subject[0]
         for i, x in enumerate(lines):
-            if i in pages:
+            if i in out:
                 continue
             low = x.lower()
             if first[:2] not in low and not (own and own[-6:] in low):
                 continue
             n = _DOC_NUMBER.search(x)
-            numbered = bool(n) and bool(own) and n.group().replace("O", "0").rstrip(").").lower() == own
+            numbered = bool(n) and bool(own) and _number_form(n.group()) == own
             capital = x.isupper()
             near = i - 1 in pages or i + 1 in pages
             if not (numbered or capital or near) or "về việc" in low or low.startswith("v/v") or i and lines[i - 1].lower().rstrip().endswith(("về việc", "v/v")):
@@ -284,14 +286,12 @@ class Reader:
                         out.add(i)
         return out
 
-    def between(self, t: str, lines: list[str], number: str | None, skip: np.ndarray | None) -> set[int]:
-        """Indices of further lines that may stand between the halves of a broken word: those of the site, whose wordings are in skip, and the document's number with a page."""
-        own = (number or "").replace("O", "0").rstrip(").").lower()
-        out = {i for i, x in enumerate(lines) if own and "/" in x and (m := _HEAD.fullmatch(x)) and m.group(1).replace("O", "0").lower() == own}
-        if skip is not None and len(skip):
-            scan = p5.Scan(t)
-            out.update(np.flatnonzero(np.isin(scan.wording, skip) & (scan.upto > scan.first)).tolist())
-        return out
+    def between(self, t: str, skip: np.ndarray | None) -> set[int]:
+        """Indices of the lines of the site, whose wordings are in skip: they may stand between the halves of a broken word."""
+        if skip is None or not len(skip):
+            return set()
+        scan = p5.Scan(t)
+        return set(np.flatnonzero(np.isin(scan.wording, skip) & (scan.upto > scan.first)).tolist())
 
     def noise(self, text: str, title: str | None, number: str | None, skip: np.ndarray | None = None) -> list[str]:
         t = consistent(text)
@@ -301,7 +301,7 @@ class Reader:
         broken = next(self.broken(t), None)
         if not broken and _MARK_END.search(t):
             # a word broken at a page's end goes on after the furniture
-            away = furniture | self.between(t, lines, number, skip)
+            away = furniture | self.between(t, skip)
             broken = away and next(self.broken("\n".join(x for i, x in enumerate(lines) if i not in away)), None)
         if broken:
             out.append("broken_word")
@@ -328,6 +328,11 @@ class Reader:
         return paragraphs(t.split("\n"))
 
 
+def _number_form(number: str | None) -> str:
+    """A document's number with letters read for digits set right, for comparison."""
+    return (number or "").translate(_AS_DIGITS).rstrip(").").lower()
+
+
 def _close(a: str, b: str) -> bool:
     """Equal but for an eighth of the characters, place by place or after a shift (words misread change the length)."""
     if a == b:
