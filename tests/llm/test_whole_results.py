@@ -76,3 +76,31 @@ def test_small_sets_are_never_missed():
                 b = np.concatenate([a[:least], rng.integers(0, 1 << 63, m - least).astype(np.uint64)])
                 shared = np.intersect1d(p6.signatures(np.sort(a)), p6.signatures(np.sort(b)))
                 assert len(shared) >= p6.SHARED, (n, m)
+
+
+# --- P5 ---
+def test_passages_wrapped_in_many_ways_are_cut(spark):
+    import random
+    import textwrap
+
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcdeghiklmnopqrstuvxy") for _ in range(rng.randrange(2, 7)))
+    passage, formal = (" ".join(word() for _ in range(60)) for _ in range(2))
+    rows, bodies = [], {}
+    for i in range(24):
+        body = [" ".join(word() for _ in range(50)) for _ in range(2)]
+        bodies[f"u{i:02}"] = body
+        site = f"h{i % 3}"
+        inside = passage if site == "h0" else ""
+        rows.append(("legal_docs", f"u{i:02}", site, textwrap.fill(" ".join([body[0], inside, body[1], formal]), 30 + i)))
+    df = spark.createDataFrame([*rows, rows[0], ("legal_docs", None, "h0", passage), ("legal_docs", "z", "h0", None)], TEXT)
+    got = {r["uid"]: (r["raw_text"], r["passages_removed"]) for r in p5.cleaned(df).collect() if r["raw_text"]}
+    for _, uid, site, text in rows:
+        left, n = got[uid]
+        flat = " ".join(left.split())
+        assert all(b in flat for b in bodies[uid]) and formal in flat
+        if site == "h0":
+            assert n >= 1 and len(flat) < len(" ".join(text.split())) - len(passage) + 120
+        else:
+            assert n == 0 and left == text
+    assert p5.passages(df.limit(0)).count() == 0
