@@ -41,12 +41,17 @@ def test_split_articles_letters_and_line_breaks(spark):
     assert split(spark, "không có gì") == [] and split(spark, "") == []
 
 
-def test_titles():
+def test_dropped_headings_come_back_as_written(spark):
+    got = split(spark, f"Điều 1. Một\n{BODY}\n  điều 2.\nngắn\nĐIỀU 3. Ba\n{BODY}")
+    assert got == [("1", "Một", f"{BODY}\n  điều 2.\nngắn"), ("3", "Ba", BODY)]
+
+
+def test_titles(one):
     t = "CỘNG HÒA\n\nLUẬT\nĐẤT ĐAI\nCăn cứ Hiến pháp"
-    assert documents.title_of(t) == "LUẬT ĐẤT ĐAI"
-    assert documents.title_of("B\nỘ\nLUẬT\nDÂN SỰ\nĐiều 1. x") == "BỘ LUẬT DÂN SỰ"
-    assert documents.title_of("NGHỊ ĐỊNH\nQUY ĐỊNH CHI TIẾT\nThi hành luật") == "NGHỊ ĐỊNH QUY ĐỊNH CHI TIẾT"
-    assert documents.title_of("không có") is None
+    late = "x\n" * 50 + "LUẬT\nĐẤT ĐAI"
+    cases_ = [t, "B\nỘ\nLUẬT\nDÂN SỰ\nĐiều 1. x", "NGHỊ ĐỊNH\nQUY ĐỊNH CHI TIẾT\nThi hành luật", "không có", late, None, "", "LUẬT Thử\nvề việc  a\n\nNơi nhận: x", "B\nỘ\nLUẬT", "LUẬT\n" + "dòng\n" * 20]
+    want = ["LUẬT ĐẤT ĐAI", "BỘ LUẬT DÂN SỰ", "NGHỊ ĐỊNH QUY ĐỊNH CHI TIẾT", None, None, None, None, "LUẬT Thử về việc a", "BỘ LUẬT", "LUẬT" + " dòng" * 11]
+    assert one(documents.document_title, *cases_) == want
 
 
 def test_refine_documents(spark):
@@ -140,11 +145,31 @@ def test_html(spark):
     assert html.table_fields(PAGE, prefer_anchor=True) == {"Số hiệu": "1/2020"} and html.table_fields(None) == {}
     df = spark.createDataFrame([(PAGE,), ("",)], "p string").withColumn("l", html.links("p"))
     r = df.select(html.summary("p"), html.heading("p"), html.canonical_url("p"), html.element_text("p", "full"), html.downloads(F.col("l"), "https://h"), html.case_links(F.col("l"), "https://h"), html.doc_links(F.col("l"), "https://h")).collect()
-    assert tuple(r[0][:4]) == ("tóm\nlược", "Tiêu  đề", "/x", "dòng 1\ndòng 2")
+    assert tuple(r[0][:4]) == ("tóm lược", "Tiêu  đề", "/x", "dòng 1\ndòng 2")
     assert [(x["file_type"], x["url"]) for x in r[0][4]] == [("pdf", "https://h/tai-file/1.pdf"), ("doc", "https://h/b.docx")]
     assert r[0][5] == ["https://h/ban-an/2.html"] and r[0][6] == ["https://h/luat-d1.html"] and r[1][4] == []
 
 
+def test_html_containers(spark):
+    page = """<div id="tomtat"><table><tr><td>Áp dụng</td><td>có</td><td>Số hiệu</td><td>1</td></tr></table><a href="/tai-file/a.pdf">Tải</a></div><a href="/tai-file/b.pdf">Tải</a>
+    <h3 class="entry-title"><a href="/khac">x</a></h3><div class="doc-item"><h3><a href="/ban-an/1">một</a></h3><a href="/ban-an/2">hai</a></div>"""
+    other = '<h3 class="big entry-title"><a href="/ban-an/9">chín</a><a href="/ban-an/8">tám</a></h3><div class="doc-item"><h3><a href="/ban-an/1">một</a></h3></div>'
+    assert html.table_fields(page, pairs=True, without=html.EXCLUDED) == {"Số hiệu": "1"}
+    df = spark.createDataFrame([(page,), (other,), (None,)], "p string")
+    df = df.withColumns({"l": html.links("p", "tomtat"), "r": html.result_links("p")})
+    got = df.select(html.downloads(F.col("l"), "https://h").alias("d"), html.case_links(F.col("r"), "https://h").alias("c")).collect()
+    assert [x["url"] for x in got[0]["d"]] == ["https://h/tai-file/a.pdf"]
+    assert [r["c"] for r in got] == [["https://h/ban-an/1"], ["https://h/ban-an/9"], None]
+
+
+def test_listed_documents(spark):
+    rows = [[("/Luat-1/", "Luật 35/2024/QH15"), ("/luat-1", "Luật 35/2024/QH15"), ("luat-2", "Luật 1-2"), ("https://X/a", "Nghị định 12/2023/NĐ-CP"), ("/z", "Luật sửa đổi 1/2")]]
+    df = spark.createDataFrame([(r,) for r in rows], "l array<struct<href:string,label:string>>")
+    got = df.select(F.explode(html.listed(F.col("l"), "https://h")).alias("x")).select("x.*")
+    assert [tuple(r) for r in got.collect()] == [("https://h/luat-1", "Luật 35/2024/QH15"), ("https://h/luat-2", "Luật 1-2"), ("https://x/a", "Nghị định 12/2023/NĐ-CP")]
+    assert [r[0] for r in got.select(html.is_kept(F.lit(None).cast("string"), F.col("title"))).collect()] == [True, False, True]
+
+
 def test_official_titles(one):
     assert one(html.is_official_title, "Luật 35/2024/QH15", "Luật sửa đổi 1", "Luật", "Nghị định 12/2023/NĐ-CP", "Luật Đất đai") == [True, False, False, True, False]
 
@@ -163,6 +188,10 @@ def test_files(spark, tmp_path):
     assert sorted(r["uid"] for r in rows.collect() if r["uid"]) == ["1", "2", "3"]
     files.write_by_source(rows, str(tmp_path / "out"))
     assert {p.name for p in (tmp_path / "out").iterdir() if p.is_dir()} == {"_source=a", "_source=b"}
+    inputs = spark.createDataFrame([("a.json",), ("b.json",), ("c.json",)], "source_file string")
+    files.write_by_source(rows, str(tmp_path / "all"), sources=inputs)
+    assert {p.name for p in (tmp_path / "all").iterdir() if p.is_dir()} == {"_source=a", "_source=b", "_source=c"}
+    assert spark.read.json(str(tmp_path / "all")).count() == 3
     (tmp_path / "t").mkdir()
     (tmp_path / "t/x.txt").write_text("trang 1\n\n\n\n\n\ntrang 2")
     z = io.BytesIO()
@@ -244,3 +273,92 @@ def test_tables(spark, tmp_path):
     tables.write(df, str(tmp_path / "t.parquet"))
     tables.write(df, str(tmp_path / "t.parquet"), clear=False)
     assert tables.read(spark, str(tmp_path), "t").count() == 2
+
+
+def test_pages_of_files(spark, tmp_path):
+    (tmp_path / "x.txt").write_text("một\n\n\nhai\n\n\n\n\n\n")
+    (tmp_path / "y.pdf").write_bytes(b"%PDF")
+    calls = []
+    pages = files.pdf_pages_adapter(lambda b: calls.append(b) or ["ngắn", "trang"], lambda b: ["quét"])
+    got = {(r["path"].rsplit("/", 1)[1], r["page_no"]): r["text"] for r in files.read_pages(spark, str(tmp_path), pages).collect()}
+    assert got == {("x.txt", 1): "một", ("x.txt", 2): "hai", ("y.pdf", 1): "quét"}
+    with pytest.raises(Exception, match="unsupported file type"):
+        files.read_pages(spark, str(tmp_path)).collect()
+
+
+def test_head_and_together(spark):
+    df = spark.createDataFrame([(str(i), i) for i in range(9)], "uid string, x int")
+    assert [r["uid"] for r in rel.head(df, 3, "uid").collect()] == ["0", "1", "2"] and rel.head(df, 0, "uid").count() == rel.head(df, -1, "uid").count() == 9
+    got = [r["x"] for r in rel.together([df.filter("x < 4"), df.filter("x >= 4")], 6, "uid").collect()]
+    assert set(got) > {0, 1, 2, 3} and len(got) == 6 and got != sorted(got)
+
+
+def test_searches_beyond_the_broadcast_agree(spark):
+    docs = spark.createDataFrame([(f"d{i}", f"{i}/{2000 + i}/NĐ-CP", f"Nghị định về đất số {i}", "Nghị định", None) for i in range(30)], "uid string, doc_id string, title string, doc_type string, issue_date date")
+    rows = [("a", ["đất số 1"], None, None, []), ("b", [], None, 2007, []), ("c", [], None, None, []), ("d", ["không"], "Nghị định", None, ["32003NDCP"]), ("e", ["đ"], None, None, [])]
+    params = spark.createDataFrame(rows, "search_id string, keywords array<string>, doc_type string, year int, doc_numbers array<string>")
+    one, two = (sorted(map(tuple, rel.search(docs, params, sent=n).select("search_id", "uid", "score", "rank").collect())) for n in (100, 2))
+    assert one == two and ("d", "d3", 150, 1) in one
+    plan = rel.search(docs, params)._jdf.queryExecution().toString()
+    assert "NestedLoop" not in plan and "Join" in plan and "CartesianProduct" not in plan
+
+
+def test_clashing_labels_are_passed_over(spark):
+    """Two fields share a label; the item goes on to a further field."""
+    content = "x" * 100
+    docs = spark.createDataFrame([(f"d{f}", "1/2020" if f < 2 else f"{f}/2020", f"Lĩnh vực {f}") for f in range(5)], "uid string, doc_id string, legal_field string")
+    rows = [(f"a{f}-{n}", f"d{f}", str(n), content) for f in range(5) for n in range(1, 13)]
+    arts = spark.createDataFrame(rows, "article_uid string, doc_uid string, article_number string, content string")
+    got = generators.field_items(arts.filter("article_number <> '6' or doc_uid in ('d0', 'd1')"), docs, 10).collect()
+    assert len(got) == 10 and all(len(set(r["options"])) == 4 and r["answer"] in r["options"] for r in got)
+
+
+LAW = [("d1", "52/2014/QH13", "Luật Hôn nhân và Gia đình", "Luật", "2014-06-19"), ("d2", "92/2015/QH13", "Bộ luật Tố tụng dân sự", "Luật", "2015-11-25")]
+
+
+def test_from_case_to_item(spark):
+    """Task 3.1 with injected completions: references, their articles, the decision's options."""
+    docs = spark.createDataFrame(LAW, "uid string, doc_id string, title string, doc_type string, issue_date string").withColumn("issue_date", F.to_date("issue_date"))
+    arts = spark.createDataFrame([("d1", f"a{n}", str(n), f"nội dung {n}") for n in (33, 55)] + [("d2", "b147", "147", "án phí")], "doc_uid string, article_uid string, article_number string, content string")
+    facts, end = "Nguyên đơn trình bày. " * 8, "Tuyên xử chấp nhận yêu cầu khởi kiện. " * 4
+    rows = [(u, facts, "Nhận định.", end, "Căn cứ Luật Hôn nhân", "Sơ thẩm") for u in ("c1", "c2", "c3")] + [("c4", facts, "", "ngắn", "x", "Sơ thẩm"), ("c5", facts, "", end, "x", "Phúc thẩm")]
+    cases_ = spark.createDataFrame(rows, "uid string, section_content string, section_reasoning string, section_decision string, legal_bases string, court_level string")
+    asked = generators.reference_prompts(cases_)
+    assert {r["case_uid"] for r in asked.collect()} == {"c1", "c2", "c3"} and "Căn cứ Luật Hôn nhân" in asked.first()["prompt"]
+    ref = lambda doc_id, *numbers: {"title_keywords": ["Hôn nhân"], "doc_type": "Luật", "year": 2014, "doc_id": doc_id, "article_numbers": numbers}
+    said = {"c1": {"refs": [ref("52/2014/QH13", "55", "Điều 33"), ref("52/2014/QH13", "33")]}, "c2": {"refs": [ref("52/2014/QH13", "33", 56)]}, "c3": {"refs": [{**ref("52/2014/QH13", "33"), "title_keywords": []}]}}
+    refs = generators.references(spark.createDataFrame([(u, "Đây: " + json.dumps(x)) for u, x in said.items()] + [("c9", "không rõ")], "case_uid string, completion string"))
+    assert sorted((r["case_uid"], r["position"]) for r in refs.collect()) == [("c1", 0), ("c1", 1), ("c2", 0)]
+    assert generators.application_blocks(refs, arts, docs).count() == 0  # c1 cites an article twice, c2 one that isn't there
+    refs = refs.filter("not (case_uid = 'c1' and position = 1)")
+    blocks = generators.application_blocks(refs, arts, docs)
+    block = "[Các điều luật liên quan]\n\nĐiều 55 — Luật Hôn nhân và Gia đình (2014):\nnội dung 55\n\nĐiều 33 — Luật Hôn nhân và Gia đình (2014):\nnội dung 33"
+    assert [tuple(r) for r in blocks.select("case_uid", "found", "block").collect()] == [("c1", 2, block)]
+    prompt = generators.decision_prompts(cases_, blocks).collect()
+    assert len(prompt) == 1 and block in prompt[0]["prompt"] and end.strip() in prompt[0]["prompt"]
+    answer = json.dumps({"correct": " Chấp nhận ", "distractors": ["Bác", "Đình chỉ", "Hủy", "x"]})
+    items = generators.application_items(cases_, blocks, spark.createDataFrame([("c1", answer)], "case_uid string, completion string")).collect()
+    assert len(items) == 1 and items[0]["answer"] == "Chấp nhận" and set(items[0]["options"]) == {"Chấp nhận", "Bác", "Đình chỉ", "Hủy"}
+    assert items[0]["question"].endswith("Yêu cầu: Chỉ trả về nội dung đáp án đúng.") and items[0]["num_articles_found"] == 2
+
+
+def test_originals_of_amendments(spark):
+    docs = spark.createDataFrame(LAW, "uid string, doc_id string, title string, doc_type string, issue_date string").withColumn("issue_date", F.to_date("issue_date"))
+    arts = spark.createDataFrame([("m1", "Sửa đổi Điều 33 của Luật số 52/2014/QH13"), ("m2", "Sửa đổi"), ("m3", "x")], "article_uid string, content string")
+    said = [("m1", {"original_article_number": "Điều 33, 34", "title_keywords": ["Luật"], "doc_type": "Luật", "year": 2014, "doc_id": "52/2014/QH13"}), ("m2", {"original_article_number": None, "doc_id": "52/2014/QH13"}), ("m3", {"original_article_number": "1"})]
+    df = spark.createDataFrame([(u, json.dumps(x)) for u, x in said], "article_uid string, completion string")
+    assert [tuple(r) for r in generators.originals(arts, docs, df).collect()] == [("m1", "d1", "33")]
+
+
+def test_response_rows(spark):
+    items = spark.createDataFrame([("2", "task_1_1", "hai", None), ("1", "task_1_2", "một", ["a", "b"])], "uid string, task_id string, question string, options array<string>")
+    got = generators.respond(items, lambda p: f" {len(p)} ", "m", 1).collect()
+    assert [(r["uid"], r["model"], r["latency_sec"] >= 0, len(r["evaluated_at"])) for r in got] == [("1", "m", True, 19)] and got[0]["model_answer"] == got[0]["raw_model_output"] == str(int(got[0]["model_answer"]))
+    assert generators.respond(items, str, "m").count() == 2
+
+    def fails(_):
+        raise RuntimeError("no answer")
+
+    with pytest.raises(Exception, match="no answer"):
+        generators.respond(items, fails, "m").collect()
+    assert [r["completion"] for r in generators.complete(items.withColumn("prompt", F.col("question")), fails).collect()] == ["", ""]

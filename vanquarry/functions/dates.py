@@ -23,14 +23,19 @@ def vn_date(c) -> Column:
     return F.when(~t.isin(*PLACEHOLDERS), F.coalesce(_date(t, DMY, 3, 2, 1), _date(t, YMD, 1, 2, 3), _date(t, WORDED, 3, 2, 1)))
 
 
-def effective_date(issue_date: Column, *texts) -> Column:
-    """The date from which the first text that tells it says the document is in force; "from promulgation" means issue_date."""
+def effective_date(issue_date: Column, *texts, worded: bool = False) -> Column:
+    """The date from which the first text that tells it says the document is in force; "from promulgation" means issue_date.
+
+    As observed, a date in words isn't read: what follows the word for day is looked at, and a worded date without it is none. With worded=True it is.
+    """
     lead = rf"(?:có[{SPACE}]+)?hiệu[{SPACE}]+lực(?:[{SPACE}]+thi[{SPACE}]+hành)?[{SPACE}]+(?:kể[{SPACE}]+)?từ[{SPACE}]+"
     out = []
     for x in texts:
         t = F.lower(_text(x))
-        worded = rf"{lead}{WORDED}"
-        out += [_date(t, rf"{lead}ngày[{SPACE}]+{DMY}", 3, 2, 1), _date(t, worded, 3, 2, 1), F.when(t.rlike(rf"{lead}(?:ngày[{SPACE}]+)?ban[{SPACE}]+hành"), issue_date)]
+        out.append(_date(t, rf"{lead}ngày[{SPACE}]+{DMY}", 3, 2, 1))
+        if worded:
+            out.append(_date(t, rf"{lead}{WORDED}", 3, 2, 1))
+        out.append(F.when(t.rlike(rf"{lead}(?:ngày[{SPACE}]+)?ban[{SPACE}]+hành"), issue_date))
     return F.coalesce(*out)
 
 

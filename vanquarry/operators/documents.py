@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import re
 import unicodedata
 
@@ -15,36 +16,29 @@ from vanquarry.functions import dates, ids, text
 # Words that begin the line of a document's type.
 TITLE_WORDS = ("BỘ LUẬT", "LUẬT", "NGHỊ ĐỊNH", "NGHỊ QUYẾT", "THÔNG TƯ", "QUYẾT ĐỊNH", "HIẾN PHÁP", "LỆNH", "SẮC LỆNH")
 _STOP = re.compile(r"căn\s+cứ\b|(?:chương|mục|điều)\s|(?:nơi nhận|tm\.|kt\.|thủ tướng|bộ trưởng|chủ tịch)\b", re.I)
+_TYPE_LINE = re.compile(rf"^(?:(?i:B\nỘ)\nLUẬT$|(?:{'|'.join(TITLE_WORDS)}).*)", re.M)
 #: A line that begins an article, up to its end.
 HEADING = rf"[\t ]*Điều[{text.SPACE}]+([0-9]+[a-z]?)(?![{text.WORD}])(?:[{text.SPACE}]*\.)?[\t ]*([^\n]*)"
 CONNECTIVES = r"(?iu)\A(và|hoặc|của|theo|tại|khoản|điểm)(?![\p{L}\p{N}_])"
 LEAST_WORDS = 15
 
 
-def _capital(line: str) -> bool:
-    letters = [c for c in line if c.isalpha()]
-    return bool(letters) and sum(map(str.isupper, letters)) * 5 >= len(letters) * 4
-
-
 def title_of(t: str) -> str | None:
-    """The line of the type, found in the first 50 lines, and the lines of the name after it, as one line."""
+    """The line of the type, found in the first 50 lines, and the lines of the name after it (of the 12 from there on), as one line.
+
+    The name goes on up to a line that begins something else or, if it stands in capitals, up to a line with small letters. The word
+    for a code may be spelt out letter by letter over three lines.
+    """
     rows = [x.strip() for x in unicodedata.normalize("NFC", t).split("\n")]
-    start = None
-    for i, x in enumerate(rows[:50]):
-        spelt_out = x == "LUẬT" and i >= 2 and [y.upper() for y in rows[i - 2 : i]] == ["B", "Ộ"]
-        if spelt_out or x.startswith(TITLE_WORDS):
-            start, rows[i] = i, "BỘ LUẬT" if spelt_out else x
-            break
-    if start is None:
+    top = "\n".join(rows[:50])
+    found = _TYPE_LINE.search(top)
+    if not found:
         return None
-    following = next((x for x in rows[start + 1 : start + 6] if x), "")
-    capitals_only = _capital(following)
-    name: list[str] = []
-    for x in filter(None, rows[start : start + 12]):
-        if _STOP.match(x) or capitals_only and name and any(map(str.islower, x)):
-            break
-        name.append(x)
-    return " ".join(" ".join(name).split()) or None
+    at = top.count("\n", 0, found.end()) + 1
+    near = [c for x in itertools.islice(filter(None, rows[at : at + 5]), 1) for c in x if c.isalpha()]
+    in_capitals = bool(near) and sum(map(str.isupper, near)) >= 0.8 * len(near)
+    name = itertools.takewhile(lambda x: not (_STOP.match(x) or in_capitals and any(map(str.islower, x))), filter(None, rows[at : at + 11]))
+    return " ".join(" ".join(["BỘ LUẬT" if "\n" in found.group() else found.group(), *name]).split())
 
 
 @F.pandas_udf(StringType())
@@ -87,46 +81,43 @@ def refine(raw: DataFrame, keep_status: bool) -> DataFrame:
 def split_articles(docs: DataFrame, raw: str = "raw_text") -> DataFrame:
     """(doc_uid, doc_id, article_id, article_uid, article_number, heading, title, content, is_amendment) from docs(uid, doc_id, is_amendment, raw).
 
-    The text is cut before every line that looks like a heading; a fold over the cuts keeps those that are no quotation, read as a
-    heading and continue the numbering from 1; what is cut off elsewhere goes back to the article before it. A heading
-    without a name is dropped if its article is short. Articles without text are left out. The name after the number is the
+    The text is cut before every line that looks like a heading. A fold over the cuts, which holds their places and numbers only,
+    keeps those that are no quotation, read as a heading and continue the numbering from 1; an article then is the text from its
+    heading to the next one kept, so that what is cut off elsewhere stays as it was written. A heading
+    without a name is dropped likewise if its article is short. Articles without text are left out. The name after the number is the
     column heading; title is '' as it is in the delivered data. Documents without text, number or uid give nothing.
     """
     body = F.concat(F.lit("\n"), text.nfc(F.col(raw)))  # so that something comes before the first heading
     cuts = F.split(body, rf"(?miu)^(?={HEADING})", -1)
     get = lambda s, i: F.regexp_extract(s, rf"(?iu)\A{HEADING}", i)
-    rest = lambda s: F.substring(s, F.char_length(get(s, 0)) + 1, F.char_length(s))
 
-    def describe(s: Column, i: Column) -> Column:
-        before = F.right(F.concat(F.when(i > 2, F.element_at("cuts", (i - 2).cast("int"))).otherwise(""), F.when(i > 1, F.element_at("cuts", (i - 1).cast("int"))).otherwise(""), F.element_at("cuts", i.cast("int"))), F.lit(10))
-        tail, following = text.strip(get(s, 2)), text.strip(rest(s))
+    def describe(i: Column) -> Column:
+        """Of the cut at place i (from 1; the first is what comes before any heading)."""
+        s = F.get("cuts", i - 1)
+        back = lambda k: F.coalesce(F.right(F.get("cuts", i - 1 - k), F.lit(10)), F.lit(""))
+        before = F.right(F.concat(back(3), back(2), back(1)), F.lit(10))
+        whole, number = get(s, 0), get(s, 1)
+        tail, following = text.strip(get(s, 2)), text.strip(F.substring(s, F.char_length(whole) + 1, F.lit(200)))
         fits = F.when(tail == "", ~following.rlike(CONNECTIVES)).otherwise(~tail.contains("."))
-        number = get(s, 1)
         return F.struct(
-            number.alias("number"), F.when(number.rlike(r"\A[0-9]+[a-z]?\z"), F.regexp_extract(number, r"\A([0-9]+)", 1).try_cast("int")).alias("n"), tail.alias("tail"), s.alias("all"),
-            rest(s).alias("body"), (fits & ~before.contains("“") & ~before.contains('"')).alias("valid"),
+            i.alias("i"), number.alias("number"), F.when(number.rlike(r"\A[0-9]+[a-z]?\z"), F.regexp_extract(number, r"\A([0-9]+)", 1).try_cast("int")).alias("n"), tail.alias("tail"),
+            F.char_length(whole).alias("skip"), (fits & ~before.contains("“") & ~before.contains('"')).alias("valid"),
         )
 
     rows = docs.filter((text._text("uid") != "") & (text._text("doc_id") != "") & (text.strip(text._text(raw)) != "")).select(F.col("uid").alias("doc_uid"), "doc_id", "is_amendment", cuts.alias("cuts"))
-    rows = rows.withColumn("parts", F.expr("slice(cuts, 2, size(cuts))")).withColumn("parts", F.transform("parts", lambda s, i: describe(s, i + 1)))
-    kept = "array<struct<number:string,tail:string,body:string>>"
-
-    def step(acc: Column, x: Column) -> Column:
-        take = x["valid"] & x["n"].isNotNull() & (x["n"] == F.size(acc) + 1)
-        last = F.element_at(acc, -1)
-        back = F.concat(F.slice(acc, F.lit(1), F.size(acc) - 1), F.array(F.struct(last["number"].alias("number"), last["tail"].alias("tail"), F.concat(last["body"], x["all"]).alias("body"))))
-        return F.when(F.coalesce(take, F.lit(False)), F.concat(acc, F.array(F.struct(x["number"].alias("number"), x["tail"].alias("tail"), x["body"].alias("body"))))).when(F.size(acc) > 0, back).otherwise(acc)
-
-    rows = rows.withColumn("articles", F.aggregate("parts", F.array().cast(kept), step))
-
-    def shrink(acc: Column, x: Column) -> Column:
-        words = F.size(F.regexp_extract_all(text.clean_crawled(x["body"]), F.lit(rf"[{text.WORD}]+"), F.lit(0)))
-        last = F.element_at(acc, -1)
-        heading = F.regexp_replace(x["body"], r"\A", "")
-        back = F.concat(F.slice(acc, F.lit(1), F.size(acc) - 1), F.array(F.struct(last["number"].alias("number"), last["tail"].alias("tail"), F.concat(last["body"], F.lit("Điều "), x["number"], heading).alias("body"))))
-        return F.when((F.size(acc) > 0) & (x["tail"] == "") & (words < LEAST_WORDS), back).otherwise(F.concat(acc, F.array(x)))
-
-    rows = rows.withColumn("articles", F.aggregate("articles", F.array().cast(kept), shrink)).select("doc_uid", "doc_id", "is_amendment", F.explode("articles").alias("a"))
+    rows = rows.filter("size(cuts) > 1").withColumn("parts", F.transform(F.sequence(F.lit(2), F.size("cuts")), describe))
+    kept = "array<struct<i:int,number:string,n:int,tail:string,skip:int,valid:boolean>>"
+    step = lambda acc, x: F.when(F.coalesce(x["valid"] & (x["n"] == F.size(acc) + 1), F.lit(False)), F.concat(acc, F.array(x))).otherwise(acc)
+    rows = rows.withColumn("parts", F.aggregate("parts", F.array().cast(kept), step))
+
+    def bodies(a: str) -> Column:
+        upto = lambda k: F.coalesce(F.get(F.col(a), k + 1)["i"], F.size("cuts") + 1)
+        of = lambda x, k: F.array_join(F.slice("cuts", x["i"], upto(k) - x["i"]), "")
+        return F.transform(a, lambda x, k: F.struct(*[x[c].alias(c) for c in ("i", "number", "tail", "skip")], F.substring(of(x, k), x["skip"] + 1, F.lit(2147483647)).alias("body")))
+
+    words = lambda x: F.size(F.regexp_extract_all(text.clean_crawled(x["body"]), F.lit(rf"[{text.WORD}]+"), F.lit(0)))
+    rows = rows.withColumn("articles", bodies("parts")).withColumn("parts", F.filter("articles", lambda x, k: (k == 0) | (x["tail"] != "") | (words(x) >= LEAST_WORDS)))
+    rows = rows.withColumn("articles", bodies("parts")).select("doc_uid", "doc_id", "is_amendment", F.explode("articles").alias("a"))
     content = text.strip(text.clean_crawled("a.body"))
     return rows.select(
         "doc_uid", "doc_id", F.concat_ws("/", "a.number", "doc_id").alias("article_id"), F.concat(F.lit("dieu-"), F.lower("a.number"), F.lit("-"), "doc_uid").alias("article_uid"),

@@ -16,6 +16,8 @@ LINK = StructType([StructField(n, StringType()) for n in ("href", "label", "titl
 # Words of titles that are no official ones, and markers of links.
 UNOFFICIAL = ("dự thảo", "dự kiến", "góp ý", "sửa đổi", "bổ sung", "quy định về", "về việc")
 DOWNLOADS = ("pdf", "doc", "word", "tai-file", "tải")
+# Labels of the overview that are no attributes.
+EXCLUDED = ("Tình trạng hiệu lực", "Áp dụng")
 
 
 class Node:
@@ -92,8 +94,8 @@ def _rows(table: Node):
         yield [c for c in tr.children if isinstance(c, Node) and c.tag in ("td", "th")]
 
 
-def table_fields(page: str | None, classes: tuple[str, ...] = (), within: str | None = None, pairs: bool = False, anchors: tuple[str, ...] = (), prefer_anchor: bool = False) -> dict[str, str]:
-    """H1-H3: label to value of the first table (of the first class found, else any), one pair per row or several; for some labels the anchors joined."""
+def table_fields(page: str | None, classes: tuple[str, ...] = (), within: str | None = None, pairs: bool = False, anchors: tuple[str, ...] = (), prefer_anchor: bool = False, without: tuple[str, ...] = ()) -> dict[str, str]:
+    """H1-H3: label (but those in `without`, as EXCLUDED for the overview) to value of the first table (of the first class found, else any), one pair per row or several; for some labels the anchors joined."""
     root = _box(Tree(page).root, within)
     tables = [n for n in root.walk() if n.tag == "table"]
     table = next((t for c in classes for t in tables if c in t.classes()), tables[0] if tables else None)
@@ -103,7 +105,7 @@ def table_fields(page: str | None, classes: tuple[str, ...] = (), within: str |
             label = " ".join(cells[i].text().replace(":", "").split())
             links = [a.text() for a in cells[i + 1].walk() if a.tag == "a" and a.text()]
             value = ", ".join(links) if links and label in anchors else links[0] if links and prefer_anchor else cells[i + 1].text()
-            if label and value.strip():
+            if label and label not in without and value.strip():
                 out[label] = " ".join(value.split())
     return out
 
@@ -118,16 +120,43 @@ def fields(page: str, **options) -> Column:
     return run(page)
 
 
+def _anchors(node: Node) -> list[dict]:
+    return [{"href": a.attrs["href"], "label": a.text(), "title": a.attrs.get("title", "")} for a in node.walk() if a.tag == "a" and a.attrs.get("href")]
+
+
+def links(page: str | Column, within: str | None = None) -> Column:
+    """All anchors with an address, of the page or of the element with the id `within` if there is one: href, label and title."""
+
+    @F.pandas_udf(ArrayType(LINK))
+    def run(s: pd.Series) -> pd.Series:
+        return s.map(lambda p: _anchors(_box(Tree(p).root, within)), na_action="ignore")
+
+    return run(page)
+
+
 @F.pandas_udf(ArrayType(LINK))
-def links(s: pd.Series) -> pd.Series:
-    """All anchors with an address: href, label and title."""
-    return s.map(lambda p: [{"href": a.attrs["href"], "label": a.text(), "title": a.attrs.get("title", "")} for a in Tree(p).root.walk() if a.tag == "a" and a.attrs.get("href")], na_action="ignore")
+def result_links(s: pd.Series) -> pd.Series:
+    """H8: the links of a page of search results: the first anchor of each entry's title, or, if none leads to a case, the anchors in the headings of document items."""
+
+    def one(page):
+        root = Tree(page).root
+        entries = [n for n in root.walk() if n.tag == "h3" and "entry-title" in n.classes()]
+        found = [x[0] for n in entries if (x := _anchors(n))]
+        if not any("/ban-an/" in x["href"] for x in found):
+            items = [n for n in root.walk() if n.tag == "div" and "doc-item" in n.classes()]
+            found = [x for n in items for h in n.walk() if h.tag == "h3" for x in _anchors(h)]
+        return found
 
+    return s.map(one, na_action="ignore")
+
+
+def summary(page: str | Column) -> Column:
+    """H4: the summary element, else the body after a heading for it, else the description in the head; as a clean label."""
+    return text.clean_label(_summary(page))
 
-@F.pandas_udf(StringType())
-def summary(s: pd.Series) -> pd.Series:
-    """H4: the summary element, else the body after a heading for it, else the description in the head."""
 
+@F.pandas_udf(StringType())
+def _summary(s: pd.Series) -> pd.Series:
     def one(page):
         root = Tree(page).root
         box = _box(root, "tomtat")
@@ -231,8 +260,19 @@ def is_official_title(c) -> Column:
 
 def page_key(href: Column, base: str) -> Column:
     """An address in one form, for telling which were seen."""
-    h = F.regexp_replace(F.lower(text._text(href)), "/+$", "")
-    return F.when(h.startswith("http"), h).otherwise(F.concat(F.lit(base), h))
+    h = F.regexp_replace(F.lower(text.strip(text._text(href))), "/+$", "")
+    return F.when(h.startswith("http"), h).when(h.startswith("/"), F.concat(F.lit(base), h)).when(h != "", F.concat(F.lit(base + "/"), h))
+
+
+def listed(found: Column, base: str) -> Column:
+    """Of a page's links array<struct(href, label, ...)>, those with an official title, once per address, as struct(url, title)."""
+    rows = F.transform(F.filter(found, lambda x: is_official_title(x["label"])), lambda x: F.struct(page_key(x["href"], base).alias("url"), x["label"].alias("title")))
+    return distinct_by(F.filter(rows, lambda x: x["url"].isNotNull()), lambda x: x["url"])
+
+
+def is_kept(number: Column, title: Column) -> Column:
+    """A record is kept if its page told a number, or its title holds one."""
+    return (text._text(number) != "") | text._text(title).contains("/")
 
 
 def is_challenge(page: Column) -> Column:

@@ -229,8 +229,8 @@ def search(docs: DataFrame, params: DataFrame, top: int = 5, pool: int = 300, se
     by_type = newest(d.select(F.col("d_type").alias("doc_type"), "uid", "issue_date").filter("doc_type is not null"), "doc_type", pool).join(rest.select("search_id", "doc_type"), "doc_type")
     digits = F.array_distinct(F.filter(F.transform(F.sequence(F.lit(1), F.greatest(F.char_length("d_id") - 3, F.lit(1))), lambda i: F.substring(F.col("d_id"), i, F.lit(4)).try_cast("int")), lambda x: x.between(1000, 9999)))
     by_year = newest(d.filter("d_id is not null").select("uid", "issue_date", F.explode(digits).alias("year")), "year", pool).join(rest.select("search_id", "year"), "year")
-    free = rest.filter((F.size("keywords") == 0) & F.col("doc_type").isNull() & F.col("year").isNull()).select("search_id", F.lit(1).alias("_all"))
-    of_all = d.select("uid", "issue_date").orderBy(F.desc_nulls_last("issue_date"), "uid").limit(pool).withColumn("_all", F.lit(1)).join(free, "_all")
+    free = rest.filter((F.size("keywords") == 0) & F.col("doc_type").isNull() & F.col("year").isNull()).select("search_id", (F.char_length("search_id") * 0).alias("_all"))
+    of_all = d.select("uid", "issue_date").orderBy(F.desc_nulls_last("issue_date"), "uid").limit(pool).withColumn("_all", F.char_length("uid") * 0).join(free, "_all")
     found = exact
     for one in (by_word, by_type, by_year, of_all):
         found = found.unionByName(one.select("search_id", "uid", "issue_date"))

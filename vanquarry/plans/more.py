@@ -35,7 +35,7 @@ def search_keywords(spark, sf):
 
 
 @query(
-    f"""SELECT uid, CASE WHEN e IS NULL THEN NULL ELSE e END AS numeric, e AS worded, i AS promulgated, NULL::DATE AS silent FROM (SELECT uid, effective_date e, issue_date i FROM {TYPED_DOC})"""
+    f"""SELECT uid, e AS numeric, e AS worded, NULL::DATE AS worded_as_observed, i AS promulgated, NULL::DATE AS silent FROM (SELECT uid, effective_date e, issue_date i FROM {TYPED_DOC})"""
 )
 def effective_dates(spark, sf):
     """The date of effect as texts tell it: in figures, in words, or as that of promulgation."""
@@ -44,7 +44,7 @@ def effective_dates(spark, sf):
     figures = F.concat(F.lit("có hiệu lực thi hành kể từ ngày "), F.date_format("effective_date", "d/M/yyyy"))
     words = F.concat(F.lit("có HIỆU LỰC từ ngày "), F.date_format("effective_date", "d"), F.lit(" tháng "), F.date_format("effective_date", "M"), F.lit(" năm "), F.date_format("effective_date", "yyyy"))
     i = F.col("issue_date")
-    return d.select("uid", dates.effective_date(i, say(figures)).alias("numeric"), dates.effective_date(i, F.lit("x"), say(words)).alias("worded"), dates.effective_date(i, F.lit("có hiệu lực kể từ ngày ban hành")).alias("promulgated"), dates.effective_date(i, F.lit("ban hành ngày 1/1/2020")).alias("silent"))
+    return d.select("uid", dates.effective_date(i, say(figures)).alias("numeric"), dates.effective_date(i, F.lit("x"), say(words), worded=True).alias("worded"), dates.effective_date(i, say(words)).alias("worded_as_observed"), dates.effective_date(i, F.lit("có hiệu lực kể từ ngày ban hành")).alias("promulgated"), dates.effective_date(i, F.lit("ban hành ngày 1/1/2020")).alias("silent"))
 
 
 @query(f"SELECT uid, regexp_replace(coalesce(case_number, 'None'), '[^A-Z0-9]', '', 'g') AS number, CASE WHEN coalesce(issuance_date, '') = '' THEN '00000000' ELSE replace(issuance_date, '-', '') END AS day FROM {ONE_CASE}")

@@ -33,10 +33,13 @@ def write_json(df: DataFrame, path: str, one_file: bool = False) -> None:
     (df.coalesce(1) if one_file else df).write.mode("overwrite").json(path)
 
 
-def write_by_source(df: DataFrame, path: str, column: str = "source_file") -> None:
-    """One directory per input file, its name as the partition; inputs without rows have none."""
-    name = F.regexp_extract(F.col(column), r"([^/]+?)(?:\.[^./]*)?$", 1)
-    df.withColumn("_source", name).write.mode("overwrite").partitionBy("_source").json(path)
+def write_by_source(df: DataFrame, path: str, column: str = "source_file", sources: DataFrame | None = None) -> None:
+    """One directory per input file, its name as the partition; those of the inputs in sources(column) without rows have one with an empty line only."""
+    name = F.regexp_extract(F.col(column), r"([^/]+?)(?:\.[^./]*)?$", 1).alias("_source")
+    rows = df.select(F.to_json(F.struct(*df.columns)).alias("value"), name)
+    if sources is not None:
+        rows = rows.unionByName(sources.select(F.lit("").alias("value"), name).distinct())  # readers pass over empty lines
+    rows.write.mode("overwrite").partitionBy("_source").text(path)
 
 
 def write_results(df: DataFrame, path: str) -> None:
@@ -77,27 +80,58 @@ def docx_text(s: pd.Series) -> pd.Series:
     return s.map(lambda b: docx_paragraphs(bytes(b)) if b is not None else "")
 
 
+def _pdf_pages(native, ocr, b: bytes) -> tuple[list[str], bool]:
+    """The pages of a PDF, and whether they were recognised from scans."""
+    found = native(b)
+    first = found[:5]
+    if ocr and (not first or sum(len(p.strip()) for p in first) < 50 * len(first)):
+        return ocr(b), True
+    return found, False
+
+
 def pdf_adapter(native, ocr=None):
-    """A column function from file content to text, from the functions of whatever PDF library there is: native(bytes) -> list of pages, ocr(bytes) -> list of pages for scanned files."""
+    """A column function from file content to text, from the functions of whatever PDF library there is: native(bytes) -> list of pages, ocr(bytes) -> list of pages for scanned files. What can't be read is ''."""
 
     @F.pandas_udf(T.StringType())
     def run(s: pd.Series) -> pd.Series:
         def one(b) -> str:
             try:
-                found = [p for p in native(bytes(b)) if p.strip()]
-                some = native(bytes(b))[:5]
-                scanned = not some or sum(len(p.strip()) for p in some) < 50 * len(some)
-                if scanned and ocr:
-                    return "\n\n".join(p for p in ocr(bytes(b)) if p.strip())
-                return "\n".join(found)
+                found, scanned = _pdf_pages(native, ocr, bytes(b))
             except Exception:
                 return ""
+            return ("\n\n" if scanned else "\n").join(p for p in found if p.strip())
+
+        return s.map(one, na_action="ignore")
+
+    return run
+
+
+def pdf_pages_adapter(native, ocr=None):
+    """The same as an array of pages."""
+
+    @F.pandas_udf(T.ArrayType(T.StringType()))
+    def run(s: pd.Series) -> pd.Series:
+        def one(b) -> list[str]:
+            try:
+                return _pdf_pages(native, ocr, bytes(b))[0]
+            except Exception:
+                return []
 
         return s.map(one, na_action="ignore")
 
     return run
 
 
+def read_pages(spark: SparkSession, path: str, pdf_pages=None) -> DataFrame:
+    """(path, page_no, text) of a directory of .txt and, with an adapter, .pdf files, page by page; other types raise an error when they are reached."""
+    rows = spark.read.format("binaryFile").load(path)
+    kind = F.lower(F.regexp_extract("path", r"\.([^./]+)$", 1))
+    body = F.when(kind == "txt", pages(F.decode("content", "UTF-8")))
+    body = body.when(kind == "pdf", pdf_pages("content")) if pdf_pages else body
+    other = F.raise_error(F.concat(F.lit("unsupported file type: "), "path")).cast("array<string>")
+    return rows.select("path", F.posexplode(body.otherwise(other)).alias("page_no", "text")).withColumn("page_no", F.col("page_no") + 1)
+
+
 def read_documents(spark: SparkSession, path: str, pdf=None) -> DataFrame:
     """(path, text) of a directory of .txt, .docx and, with an adapter, .pdf files; other types raise an error when they are reached."""
     rows = spark.read.format("binaryFile").load(path)

@@ -14,6 +14,11 @@ def read_jdbc(spark: SparkSession, url: str, table: str, **options: str) -> Data
     return spark.read.format("jdbc").option("url", url).option("dbtable", table).options(**options).load()
 
 
+def write_jdbc(df: DataFrame, url: str, table: str, clear: bool = False, **options: str) -> None:
+    """Adds the rows to a table of a database, one connection per partition, or replaces its rows (the table itself stays)."""
+    df.write.format("jdbc").option("url", url).option("dbtable", table).option("truncate", "true").options(**options).mode("overwrite" if clear else "append").save()
+
+
 def write(df: DataFrame, path: str, clear: bool = True) -> None:
     """Replaces the table, or adds to it."""
     df.write.mode("overwrite" if clear else "append").parquet(path)
