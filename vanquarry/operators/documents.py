@@ -91,10 +91,13 @@ def split_articles(docs: DataFrame, raw: str = "raw_text") -> DataFrame:
     cuts = F.split(body, rf"(?miu)^(?={HEADING})", -1)
     get = lambda s, i: F.regexp_extract(s, rf"(?iu)\A{HEADING}", i)
 
-    def describe(i: Column) -> Column:
+    # names a value for what follows, so that it is worked out once: a one-element array is transformed
+    let = lambda value, then: F.element_at(F.transform(F.array(value), then), 1)
+
+    def describe(a: Column, i: Column) -> Column:
         """Of the cut at place i (from 1; the first is what comes before any heading)."""
-        s = F.get("cuts", i - 1)
-        back = lambda k: F.coalesce(F.right(F.get("cuts", i - 1 - k), F.lit(10)), F.lit(""))
+        s = F.get(a, i - 1)
+        back = lambda k: F.coalesce(F.right(F.get(a, i - 1 - k), F.lit(10)), F.lit(""))
         before = F.right(F.concat(back(3), back(2), back(1)), F.lit(10))
         whole, number = get(s, 0), get(s, 1)
         tail, following = text.strip(get(s, 2)), text.strip(F.substring(s, F.char_length(whole) + 1, F.lit(200)))
@@ -104,20 +107,22 @@ def split_articles(docs: DataFrame, raw: str = "raw_text") -> DataFrame:
             F.char_length(whole).alias("skip"), (fits & ~before.contains("“") & ~before.contains('"')).alias("valid"),
         )
 
-    rows = docs.filter((text._text("uid") != "") & (text._text("doc_id") != "") & (text.strip(text._text(raw)) != "")).select(F.col("uid").alias("doc_uid"), "doc_id", "is_amendment", cuts.alias("cuts"))
-    rows = rows.filter("size(cuts) > 1").withColumn("parts", F.transform(F.sequence(F.lit(2), F.size("cuts")), describe))
     kept = "array<struct<i:int,number:string,n:int,tail:string,skip:int,valid:boolean>>"
     step = lambda acc, x: F.when(F.coalesce(x["valid"] & (x["n"] == F.size(acc) + 1), F.lit(False)), F.concat(acc, F.array(x))).otherwise(acc)
-    rows = rows.withColumn("parts", F.aggregate("parts", F.array().cast(kept), step))
 
-    def bodies(a: str) -> Column:
-        upto = lambda k: F.coalesce(F.get(F.col(a), k + 1)["i"], F.size("cuts") + 1)
-        of = lambda x, k: F.array_join(F.slice("cuts", x["i"], upto(k) - x["i"]), "")
-        return F.transform(a, lambda x, k: F.struct(*[x[c].alias(c) for c in ("i", "number", "tail", "skip")], F.substring(of(x, k), x["skip"] + 1, F.lit(2147483647)).alias("body")))
+    def numbered(a: Column) -> Column:
+        parts = F.when(F.size(a) > 1, F.transform(F.sequence(F.lit(2), F.greatest(F.size(a), F.lit(2))), lambda i: describe(a, i))).otherwise(F.array().cast(kept))
+        return F.aggregate(parts, F.array().cast(kept), step)
+
+    def bodies(a: Column, k: Column) -> Column:
+        upto = lambda n: F.coalesce(F.get(k, n + 1)["i"], F.size(a) + 1)
+        of = lambda x, n: F.array_join(F.slice(a, x["i"], upto(n) - x["i"]), "")
+        return F.transform(k, lambda x, n: F.struct(*[x[c].alias(c) for c in ("i", "number", "tail", "skip")], F.substring(of(x, n), x["skip"] + 1, F.lit(2147483647)).alias("body")))
 
     words = lambda x: F.size(F.regexp_extract_all(text.clean_crawled(x["body"]), F.lit(rf"[{text.WORD}]+"), F.lit(0)))
-    rows = rows.withColumn("articles", bodies("parts")).withColumn("parts", F.filter("articles", lambda x, k: (k == 0) | (x["tail"] != "") | (words(x) >= LEAST_WORDS)))
-    rows = rows.withColumn("articles", bodies("parts")).select("doc_uid", "doc_id", "is_amendment", F.explode("articles").alias("a"))
+    long = lambda b: F.filter(b, lambda x, n: (n == 0) | (x["tail"] != "") | (words(x) >= LEAST_WORDS))
+    found = let(cuts, lambda a: let(let(let(numbered(a), lambda k: bodies(a, k)), long), lambda k: bodies(a, k)))
+    rows = docs.filter((text._text("uid") != "") & (text._text("doc_id") != "") & (text.strip(text._text(raw)) != "")).select(F.col("uid").alias("doc_uid"), "doc_id", "is_amendment", F.explode(found).alias("a"))
     content = text.strip(text.clean_crawled("a.body"))
     return rows.select(
         "doc_uid", "doc_id", F.concat_ws("/", "a.number", "doc_id").alias("article_id"), F.concat(F.lit("dieu-"), F.lower("a.number"), F.lit("-"), "doc_uid").alias("article_uid"),

@@ -22,7 +22,7 @@ MATCH = lambda x: f"""trim({SPACES(f"nfc_normalize({x})")}, ' "''`.,;:')"""  # n
 LOOSE = lambda x: SPACES(f"regexp_replace(lower({MATCH(x)}), '[^0-9a-zA-ZÀ-ỹ/\\- ]+', ' ', 'g')")
 ONE_DOC = "(SELECT uid, any_value(doc_id) doc_id, any_value(title) title, any_value(doc_type) doc_type, any_value(issuing_body) issuing_body, any_value(legal_field) legal_field, any_value(signer) signer, any_value(issue_date) issue_date, any_value(effective_date) effective_date, any_value(url) url, any_value(raw_text) raw_text FROM legal_docs GROUP BY uid)"
 ONE_ARTICLE = "(SELECT DISTINCT article_uid, article_id, doc_id, doc_uid, article_number, title, content, is_amendment FROM legal_articles)"
-ONE_CASE = "(SELECT uid, any_value(case_number) case_number, any_value(court_name) court_name, any_value(issuance_date) issuance_date, any_value(court_level) court_level, any_value(legal_bases) legal_bases, any_value(raw_text) raw_text, any_value(section_content) section_content, any_value(section_reasoning) section_reasoning, any_value(section_decision) section_decision FROM court_cases GROUP BY uid)"
+ONE_CASE = "(SELECT uid, any_value(case_number) case_number, any_value(court_name) court_name, any_value(issuance_date) issuance_date, any_value(court_level) court_level, any_value(legal_bases) legal_bases, any_value(raw_text) raw_text, any_value(section_content) section_content, any_value(section_reasoning) section_reasoning, any_value(section_decision) section_decision, coalesce(nullif(any_value(title_parsed), ''), nullif(any_value(title_web), '')) title FROM court_cases GROUP BY uid)"
 
 
 def query(sql: str | None = None):
@@ -72,9 +72,10 @@ def norm_loose_documents(spark, sf):
     return read(spark, sf, "documents").select("doc_id", text.match_form("text").alias("matched"), text.loose_form("text").alias("loose"))
 
 
-@query(
-    f"SELECT article_uid, {SPACES(f'''regexp_replace(replace(regexp_replace(regexp_replace(content, '(?im)^{WS}*([0-9]+|[a-z]+|[ivxldm]+)[.)]{WS}*', ' ', 'g'), '(?m)^{WS}*-{WS}*', ' ', 'g'), chr(10), ' '), '[^\\p{{L}}\\p{{N}}_{S}]', '', 'g')''')} AS plain FROM {ONE_ARTICLE}"
-)
+_PLAIN = SPACES(f'''regexp_replace(replace(regexp_replace(regexp_replace(content, '(?im)^{WS}*([0-9]+|[a-z]+|[ivxldm]+)[.)]{WS}*', ' ', 'g'), '(?m)^{WS}*-{WS}*', ' ', 'g'), chr(10), ' '), '[^\\p{{L}}\\p{{N}}_{S}]', '', 'g')''')
+
+
+@query(f"SELECT article_uid, {_PLAIN} AS plain FROM {ONE_ARTICLE}")
 def norm_legal_text(spark, sf):
     return articles(spark, sf, text.legal_plain("content").alias("plain"))
 
@@ -105,10 +106,11 @@ def noise_line_clean(spark, sf):
     return docs(spark, sf, text.clean_crawled("raw_text").alias("cleaned"))
 
 
-@query(
-    f"""SELECT article_uid, CASE WHEN len(p) = 0 THEN '' ELSE array_to_string(p[1:2], '. ') || '.' END AS excerpt FROM (
-    SELECT article_uid, list_filter(list_transform(string_split(replace(content, chr(10), ' '), '.'), lambda x: {STRIP('x')}), lambda x: x <> '') p FROM {ONE_ARTICLE})"""
-)
+_SENTENCES = f"list_filter(list_transform(string_split(replace(content, chr(10), ' '), '.'), lambda x: {STRIP('x')}), lambda x: x <> '')"
+_EXCERPT = "CASE WHEN len(p) = 0 THEN '' ELSE array_to_string(p[1:2], '. ') || '.' END"
+
+
+@query(f"SELECT article_uid, {_EXCERPT} AS excerpt FROM (SELECT article_uid, {_SENTENCES} p FROM {ONE_ARTICLE})")
 def excerpt_two_sentences(spark, sf):
     return articles(spark, sf, text.excerpt("content").alias("excerpt"))
 
@@ -270,6 +272,7 @@ def exclude_anti(spark, sf):
     return rel.excluding(read(spark, sf, "court_cases").select("uid").distinct(), read(spark, sf, "bench_items").select(F.col("refer_uid").alias("uid")), "uid")
 
 
+_YEAR = "coalesce(year(d.issue_date)::VARCHAR, 'không xác định')"
 _CORE = f"""(SELECT * FROM (SELECT *, try_cast(regexp_extract({STRIP('article_number')}, '^([0-9]+)', 1) AS BIGINT) AS n, min(n) OVER (PARTITION BY doc_uid) AS lo, max(n) OVER (PARTITION BY doc_uid) AS hi FROM {ONE_ARTICLE}) WHERE length({STRIP('content')}) >= 80 AND hi - lo + 1 >= 4 AND n BETWEEN lo + 1 AND hi - 1)"""
 
 
@@ -360,17 +363,38 @@ def articles_by_field(spark, sf):
 
 
 # --- generators ----------------------------------------------------------------------------------------------------------
-@query()
+# Core articles as the generators take them (8 articles, 2 at each end), or (by _FEW) with the lower bounds of the small test tables; with their documents in the strata.
+_CORE8 = _CORE.replace(">= 4", ">= 8").replace("BETWEEN lo + 1 AND hi - 1", "BETWEEN lo + 2 AND hi - 2")
+_FEW = f"""(SELECT c.article_uid, c.article_number, c.content, c.doc_uid, d.doc_id AS d_doc_id, coalesce(nullif(d.title, ''), d.doc_id) AS name, {_YEAR} AS y, CASE WHEN c.doc_uid = 'HP2013' OR d.doc_id = 'HP2013' THEN 'special' WHEN d.doc_type IN ('Luật', 'Nghị định') THEN d.doc_type END AS stratum FROM {_CORE} c JOIN {TYPED_DOC} d ON d.uid = c.doc_uid)"""
+
+
+@query(
+    f"""SELECT 'bench_2_2_' || article_uid AS uid, article_uid AS refer_uid, 'article' AS refer_type, 'Hãy cho biết nội dung của Điều ' || article_number || ' của ' || name || ' (' || y || ').' AS question, answer FROM (SELECT *, {_PLAIN} AS answer FROM (
+    SELECT c.article_uid, c.article_number, c.content, coalesce(nullif(d.title, ''), d.doc_id) AS name, {_YEAR} AS y, row_number() OVER (PARTITION BY c.doc_uid ORDER BY c.article_number, c.article_uid) AS r FROM {_CORE8} c JOIN {TYPED_DOC} d ON d.uid = c.doc_uid) WHERE r <= 5) WHERE answer <> ''"""
+)
 def article_recall_items(spark, sf):
     return generators.recall_items(articles(spark, sf), typed_docs(spark, sf), None)
 
 
-@query()
+@query(
+    f"""SELECT 'bench_2_3_' || CASE WHEN coin THEN 'docid' ELSE 'article' END || '_' || article_uid AS uid, article_uid AS refer_uid, 'Đoạn trích dưới đây thuộc văn bản nào?' || chr(10) || chr(10) || '"' || excerpt || '"' AS question, CASE WHEN coin THEN d_doc_id ELSE 'Điều ' || article_number || ' ' || d_doc_id END AS answer, 'article' AS refer_type
+    FROM (SELECT *, {_EXCERPT} AS excerpt, left(md5('coin0|' || article_uid), 1) < '8' AS coin FROM (SELECT *, {_SENTENCES} AS p FROM {_FEW} WHERE stratum IS NOT NULL AND d_doc_id IS NOT NULL) WHERE len(p) > 0 ORDER BY md5('0|' || article_uid), article_uid LIMIT 50)
+    UNION ALL (SELECT 'bench_2_3_effective_' || uid, uid, 'Văn bản số ' || doc_id || ' có hiệu lực từ ngày nào?', strftime(effective_date, '%d/%m/%Y'), 'doc' FROM {TYPED_DOC} WHERE doc_id IS NOT NULL AND effective_date IS NOT NULL ORDER BY md5('date0|' || uid), uid LIMIT 25)
+    UNION ALL (SELECT 'bench_2_3_signer_' || uid, uid, 'Ai ký văn bản số ' || doc_id || '?', signer, 'doc' FROM {TYPED_DOC} WHERE doc_id IS NOT NULL AND coalesce(signer, '') <> '' ORDER BY md5('signer0|' || uid), uid LIMIT 25)"""
+)
 def metadata_recall_items(spark, sf):
     return generators.metadata_items(articles(spark, sf), typed_docs(spark, sf), 100, least=4, margin=1)
 
 
-@query()
+@query(
+    f"""WITH a AS (SELECT field, article_uid, label, row_number() OVER (PARTITION BY field ORDER BY md5('0|' || article_uid), article_uid) AS r, count(*) OVER (PARTITION BY field) AS size FROM (SELECT {STRIP('d.legal_field')} AS field, c.article_uid, 'Điều ' || c.article_number || ' ' || d.doc_id AS label FROM {_CORE8} c JOIN {TYPED_DOC} d ON d.uid = c.doc_uid WHERE d.doc_id IS NOT NULL)
+    WHERE field <> '' AND lower(field) NOT IN ('{"', '".join(text.FIELD_PLACEHOLDERS)}')), f AS (SELECT field, any_value(size) AS size, row_number() OVER (ORDER BY md5('0|' || field), field) - 1 AS g, count(*) OVER () AS n FROM a GROUP BY field),
+    t AS (SELECT k, s, f.g, f.n FROM f, range(1, 101) x(k), range(0, (SELECT count(*) FROM f)) y(s) WHERE f.n >= 4 AND f.g = (k - 1 + s) % f.n),
+    m AS (SELECT k, list(struct_pack(s := t.s, field := f.field, article_uid := a.article_uid, label := a.label) ORDER BY t.s) AS met FROM t JOIN f ON f.g = t.g JOIN a ON a.field = f.field AND a.r = ((t.k - 1) // t.n + t.s) % f.size + 1 GROUP BY k),
+    o AS (SELECT met[1] AS c, list_transform(met, lambda x: x.label) AS ls FROM m), q AS (SELECT c, list_filter(ls, lambda x, i: list_position(ls, x) = i)[1:4] AS four FROM o)
+    SELECT 'bench_2_6_' || c.article_uid AS uid, c.article_uid AS refer_uid, 'article' AS refer_type, c.field AS legal_field, 'Điều khoản nào dưới đây liên quan trực tiếp nhất đến chủ đề pháp lý: ''' || c.field || '''?{generators.PICK_TAIL}' AS question,
+    list_transform(list_sort(list_transform(four, lambda x: md5(c.article_uid || '|' || x) || x)), lambda x: substr(x, 33)) AS options, c.label AS answer FROM q WHERE len(four) = 4"""
+)
 def mcq_distractors(spark, sf):
     return generators.field_items(articles(spark, sf), typed_docs(spark, sf), 100)
 

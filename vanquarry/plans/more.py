@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from vanquarry.functions import dates, ids, text
 from vanquarry.operators import cases, documents, generators, html, scoring
 from vanquarry.operators import relational as rel
-from vanquarry.plans.catalogue import _CORE, ONE_ARTICLE, ONE_CASE, ONE_DOC, SPACES, STRIP, TYPED_DOC, articles, docs, one_case, query, typed_docs
+from vanquarry.plans.catalogue import _CORE8, _FEW, _YEAR, ONE_ARTICLE, ONE_CASE, ONE_DOC, SPACES, STRIP, TYPED_DOC, articles, docs, one_case, query, typed_docs
 from vanquarry.sources.tables import read
 
 
@@ -115,7 +115,8 @@ def text_source(spark, sf):
 @query()
 def refined_documents(spark, sf):
     """Documents from raw records."""
-    d = read(spark, sf, "legal_docs").dropDuplicates(["uid"])
+    d = read(spark, sf, "legal_docs").select("uid", "url", "title", "raw_text", "doc_id", "doc_type", "issue_date", "issuing_body", "status", "summary", "scraped_at", text._text("summary").alias("o1"), text._text("status").alias("o2"))
+    d = rel.upsert(None, d, "uid", ["status", "summary"], ["scraped_at", "o1", "o2"])  # of several crawls the last one's
     attrs = F.create_map(F.lit("Số hiệu"), F.col("doc_id"), F.lit("Loại văn bản"), F.col("doc_type"), F.lit("Ngày ban hành"), F.col("issue_date"), F.lit("Cơ quan ban hành"), F.col("issuing_body"), F.lit("Tình trạng hiệu lực"), F.col("status"))
     return documents.refine(d.select("url", F.col("title").alias("title_web"), "raw_text", "summary", attrs.alias("attrs")), True).drop("raw_text")
 
@@ -158,17 +159,18 @@ def candidate_gate(spark, sf):
 
 # --- generators ----------------------------------------------------------------------------------------------------------
 def _case(spark, sf) -> DataFrame:
-    return one_case(spark, sf, "section_content", "section_reasoning", "section_decision", "legal_bases", "court_level")
+    return one_case(spark, sf, "section_content", "section_reasoning", "section_decision", "legal_bases", "court_level", "title_parsed", "title_web", "legal_relation", "case_type")
 
 
 @query(
-    f"""SELECT 'bench_1_1_' || uid AS uid, uid AS refer_uid, 'case' AS refer_type, (['{"', '".join(text.ISSUE_LABELS)}'])[1 + length(uid) % 15] AS answer FROM (SELECT uid FROM {ONE_CASE} WHERE coalesce(section_content, '') <> '' AND coalesce(section_reasoning, '') <> '' ORDER BY md5('0|' || uid), uid LIMIT 60)"""
+    f"""SELECT 'bench_1_1_' || uid AS uid, uid AS refer_uid, 'case' AS refer_type, '{generators.ISSUE_QUESTION[0].replace("'", "''")}{chr(10).join(f"{i}. {x}" for i, x in enumerate(text.ISSUE_LABELS, 1))}{generators.ISSUE_QUESTION[1]}' || section_content || '{generators.ISSUE_QUESTION[2].replace("'", "''")}' AS question, (['{"', '".join(text.ISSUE_LABELS)}'])[1 + length(uid) % 15] AS answer
+    FROM (SELECT uid, section_content, title FROM {ONE_CASE} WHERE section_content IS NOT NULL ORDER BY md5('0|' || uid), uid LIMIT 60) WHERE section_content <> '' AND title IS NOT NULL"""
 )
 def issue_items(spark, sf):
     """G1, with the number of a label as the model's answer."""
     c = _case(spark, sf)
     said = c.select("uid", F.concat((1 + F.char_length("uid") % 15).cast("string"), F.lit(". vì")).alias("completion"))
-    return generators.issue_items(c, said, 60).drop("question")
+    return generators.issue_items(c, said, 60)
 
 
 _SAID = """'Đây: {{"correct": "' || {0} || ' đúng", "distractors": ["' || {0} || ' a", "b", "c", "d"]}}'"""
@@ -181,14 +183,17 @@ def _said(key: str) -> Column:
 _SHUFFLED = "list_transform(list_sort(list_transform([{0} || ' a', 'b', 'c', {0} || ' đúng'], lambda x: md5({0} || '|' || x) || x)), lambda x: substr(x, 33))"
 
 
-@query(f"SELECT 'bench_1_2_' || c.uid AS uid, c.uid AS refer_uid, {_SHUFFLED.format('c.uid')} AS options, c.uid || ' đúng' AS answer FROM (SELECT uid FROM {ONE_CASE} WHERE coalesce(section_content, '') <> '' ORDER BY md5('0|' || uid), uid LIMIT 60) c")
+@query(f"SELECT 'bench_1_2_' || c.uid AS uid, c.uid AS refer_uid, {_SHUFFLED.format('c.uid')} AS options, c.uid || ' đúng' AS answer FROM (SELECT uid, title FROM {ONE_CASE} WHERE coalesce(section_content, '') <> '' AND coalesce(section_decision, '') <> '' ORDER BY md5('0|' || uid), uid LIMIT 60) c WHERE title IS NOT NULL")
 def choice_items(spark, sf):
     """G2."""
     c = _case(spark, sf)
     return generators.choice_items(c, c.select("uid", _said("uid").alias("completion")), 60).select("uid", "refer_uid", "options", "answer")
 
 
-@query()
+@query(
+    f"""SELECT 'bench_2_1_' || article_uid AS uid, article_uid AS refer_uid, d_doc_id AS refer_doc_id, 'article' AS refer_type, 'Khái niệm ' || article_number AS concept, 'Trong ' || name || ' (ban hành năm ' || y || '), khái niệm ''Khái niệm ' || article_number || ''' được định nghĩa như thế nào?{generators.DEFINITION_TAIL}' AS question, 'là một điều' AS answer
+    FROM (SELECT *, row_number() OVER (PARTITION BY stratum ORDER BY md5('0|' || article_uid), article_uid) AS r FROM {_FEW} WHERE stratum IS NOT NULL AND length(article_uid) % 2 = 0) WHERE r <= CASE stratum WHEN 'Luật' THEN 80 WHEN 'Nghị định' THEN 18 ELSE 2 END"""
+)
 def definition_items(spark, sf):
     """G3, with a made-up definition in every other article."""
     a = articles(spark, sf)
@@ -197,14 +202,25 @@ def definition_items(spark, sf):
 
 
 @query(
-    f"""SELECT 'bench_2_2_' || article_uid AS uid, article_uid AS refer_uid FROM (SELECT *, row_number() OVER (PARTITION BY doc_uid ORDER BY article_number, article_uid) AS r FROM {_CORE.replace('>= 4', '>= 8').replace('BETWEEN lo + 1 AND hi - 1', 'BETWEEN lo + 2 AND hi - 2')} c WHERE EXISTS (SELECT 1 FROM legal_docs d WHERE d.uid = c.doc_uid)) WHERE r <= 5"""
+    f"""SELECT 'bench_2_2_' || article_uid AS uid, article_uid AS refer_uid FROM (SELECT *, row_number() OVER (PARTITION BY doc_uid ORDER BY article_number, article_uid) AS r FROM {_CORE8} c WHERE EXISTS (SELECT 1 FROM legal_docs d WHERE d.uid = c.doc_uid)) WHERE r <= 5"""
 )
 def recall_item_ids(spark, sf):
     """G4 of all documents."""
     return generators.recall_items(articles(spark, sf), typed_docs(spark, sf), None).select("uid", "refer_uid")
 
 
-@query()
+@query(
+    f"""WITH a AS (SELECT *, CASE WHEN regexp_matches({STRIP('article_number')}, '^[0-9]+[a-zA-Z]*$') THEN try_cast(regexp_extract(article_number, '([0-9]+)', 1) AS BIGINT) END AS n, lower(regexp_extract(article_number, '([a-zA-Z]*)$', 1)) AS s FROM {ONE_ARTICLE}),
+    b AS (SELECT uid, lag(uid) OVER (PARTITION BY doc_type ORDER BY uid) AS original_uid FROM {TYPED_DOC}),
+    r AS (SELECT a.*, b.original_uid, d.doc_id AS d_doc_id FROM a JOIN b ON b.uid = a.doc_uid JOIN {TYPED_DOC} d ON d.uid = a.doc_uid WHERE a.is_amendment AND b.original_uid IS NOT NULL AND b.original_uid <> a.doc_uid),
+    o AS (SELECT r.article_uid, min(x.article_uid) AS original FROM r JOIN a x ON x.doc_uid = r.original_uid AND lower(x.article_number) = lower({STRIP('r.article_number')}) GROUP BY 1),
+    nb AS (SELECT target, list('Điều ' || article_number || ' của ' || d_doc_id ORDER BY k) AS near FROM (SELECT t.article_uid AS target, t.d_doc_id, x.article_number, row_number() OVER (PARTITION BY t.article_uid ORDER BY CASE WHEN t.n IS NULL THEN 0 ELSE coalesce(abs(x.n - t.n), 10000) END, CASE WHEN t.n IS NULL THEN '' WHEN x.n IS NULL THEN x.article_number ELSE x.s END, x.article_uid) AS k
+    FROM r t JOIN a x ON t.doc_uid = x.doc_uid AND t.article_uid <> x.article_uid) WHERE k <= 4 GROUP BY 1, d_doc_id),
+    w AS (SELECT r.*, o.original, 'Điều ' || r.article_number || ' của ' || r.d_doc_id AS answer, list_distinct(list_filter(list_append(coalesce(near, []), '{generators.NOT_AMENDED}'), lambda x: x <> 'Điều ' || r.article_number || ' của ' || r.d_doc_id)) AS wrong FROM r JOIN o USING (article_uid) LEFT JOIN nb ON nb.target = r.article_uid),
+    z AS (SELECT *, list_append(list_transform(list_sort(list_transform(wrong, lambda x: md5(article_uid || '|' || x) || x))[1:3], lambda x: substr(x, 33)), answer) AS four FROM w WHERE len(wrong) >= 3)
+    SELECT 'bench_2_4_' || original || '_' || article_uid AS uid, original AS refer_uid, 'article' AS refer_type, article_uid AS amendment_article_id, 'Điều ' || {STRIP('article_number')} || ' của ''' || d.title || ' (' || {_YEAR} || ')'' được sửa đổi, bổ sung bởi điều khoản nào sau đây?{generators.PICK_TAIL}' AS question,
+    list_transform(list_sort(list_transform(four, lambda x: md5(article_uid || '|' || x) || x)), lambda x: substr(x, 33)) AS options, answer FROM z JOIN {TYPED_DOC} d ON d.uid = z.original_uid"""
+)
 def amendment_items(spark, sf):
     """Each amending article taken to amend the article of its number in the document before."""
     a = articles(spark, sf)
